@@ -12,12 +12,15 @@ SOURCE_TYPE = {1: "NOTEBOOK", 2: "JOB", 3: "PROJECT", 4: "LOCAL", 5: "UNKNOWN"}
 FOLD_KEY = r"^(Training|Validation) (accuracy|kappa|F1 score of class ([0-9]+)) in fold ([0-9]+)$"
 
 
+INT_TEXT = r"^[+-]?[0-9]+$"
+
+
 def none_to_null(value: Column) -> Column:
     return F.when(value != "None", value)
 
 
 def as_long(value: Column) -> Column:
-    return none_to_null(value).try_cast("long")
+    return F.when(value.rlike(INT_TEXT), value.try_cast("long"))
 
 
 def as_double(value: Column) -> Column:
@@ -33,7 +36,7 @@ def value_type(value: Column) -> Column:
     return (
         F.when(value.isNull() | (value == "None"), "null")
         .when(value.isin("True", "False"), "bool")
-        .when(value.rlike(r"^[+-]?[0-9]+$"), "int")
+        .when(value.rlike(INT_TEXT), "int")
         .when(value.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), "double")
         .when(value.rlike(r"^[\(\[].*[\)\]]$"), "list")
         .when(value.rlike(r"^\{.*\}$"), "map")
