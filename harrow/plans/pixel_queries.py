@@ -45,13 +45,13 @@ def mask(spark, sf):
 
 @query(
     "S10",
-    "SELECT strftime(l_shipdate, '%Y-%m-%d') AS scene_date, count(*) AS n, round(sum(l_discount), 4) AS b04, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) AS BIGINT) AS clear FROM lineitem GROUP BY 1",
+    "SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS scene_date, count(*) AS n, round(sum(l_discount), 4) AS b04, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) AS BIGINT) AS clear FROM lineitem GROUP BY 1",
 )
 def write_bands(spark, sf):
-    """Write the bands by scene date, read them back, and total them per date."""
+    """Write the bands by (monthly) scene date, read them back, and total them per date."""
     li = X.table(spark, sf, "lineitem")
     bands = li.select(
-        F.col("l_shipdate").alias("scene_ts"),
+        F.trunc("l_shipdate", "month").alias("scene_ts"),
         F.col("l_discount").alias("B04"),
         F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("mask"),
     )

@@ -227,12 +227,12 @@ def best_trial(spark, sf):
 
 @query(
     "A4",
-    """SELECT search, max(objective) AS best, min(objective) AS worst, round(avg(objective), 4) AS mean, count(*) AS trials,
+    """SELECT search, max(objective) AS best, min(objective) AS worst, round(avg(objective), 7) AS mean, count(*) AS trials,
       min(ts) AS first_ts, max(ts) AS last_ts FROM v_trials GROUP BY search""",
     ("v_trials",),
 )
 def search_summary(spark, sf):
-    return rounded(R.search_summary(X.v_trials(spark, sf)), 4)
+    return rounded(R.search_summary(X.v_trials(spark, sf)), 7)
 
 
 _EVENTS = ["click", "error", "purchase", "signup", "view"]

@@ -1,6 +1,7 @@
 """Run registered queries beside their SQL in DuckDB and compare rows, names, types and values.
 
-`python -m tests.oracle <sf_dir> [name ...]` prints one line per query.
+`python -m tests.oracle <sf_dir> [--hot N] [name ...]` prints one line per query; `--hot N` makes every
+group above N rows take the split-group path.
 """
 
 from __future__ import annotations
@@ -71,14 +72,17 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as e
     from harrow import build_session
 
-    sf = argv[0]
-    spark = build_session("oracle", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions=8, spark__driver__memory="8g")
+    sf, argv = argv[0], argv[1:]
+    hot = {}
+    if argv[:1] == ["--hot"]:
+        hot, argv = {"spark__harrow__hotGroupRows": argv[1]}, argv[2:]
+    spark = build_session("oracle", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions=8, spark__driver__memory="8g", **hot)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     sql = e.oracle_sql()
     bad = 0
     for name, fn in e.queries().items():
-        if len(argv) > 1 and name not in argv[1:]:
+        if argv and name not in argv:
             continue
         t = time.time()
         try:
