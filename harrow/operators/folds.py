@@ -25,7 +25,7 @@ def stratified_folds(df: DataFrame, label: str, k: int, order: list[str], hot_ro
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """'balanced' weight n / (classes * n_class) for every class."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = size_checked(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
     totals = counts.agg(F.sum("n").alias("_all"), F.count(F.lit(1)).alias("_k")).first()
     return counts.select(label, "n", (F.lit(float(totals["_all"] or 0)) / (F.lit(totals["_k"]) * F.col("n"))).alias("weight"))
 
@@ -68,7 +68,7 @@ def cross_validate(
     k: int,
     cls: int = 0,
     train_scores: bool = False,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Scores per fold (and split): fit on the other folds, predict the held-out one.
 
@@ -85,7 +85,7 @@ def cross_validate(
             out = out.unionByName(seen.select(F.lit(fold).alias("fold"), F.lit("train").alias("split"), "label", "pred"))
         return out
 
-    with ThreadPoolExecutor(max_workers=min(parallelism, k)) as pool:
+    with ThreadPoolExecutor(max_workers=min(parallelism or k, k)) as pool:
         parts = list(pool.map(one, range(1, k + 1)))
     return scores(reduce(DataFrame.unionByName, parts), cls, ["split", "fold"])
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.operators.ordered import last_known, over_order, running, size_checked
+from harrow.operators.runs import param_fingerprint
+from harrow.session import written
 
 
 def with_experiment(runs: DataFrame, experiments: DataFrame) -> DataFrame:
@@ -106,7 +108,7 @@ def concurrency(runs: DataFrame, by: list[str] = (), hot_rows=None) -> DataFrame
             )
         ).alias("m"),
     ).select(*by, "m.*")
-    net = marks.groupBy(*by, "t").agg(F.sum("d").alias("change"))
+    net = written(marks.groupBy(*by, "t").agg(F.sum("d").alias("change")), "changes")
     return over_order(net, by, ["t"], {"depth": running("sum", "change")}, hot_rows)
 
 
@@ -155,8 +157,6 @@ def model_mismatch(pins: DataFrame, rules: DataFrame) -> DataFrame:
 def env_census(pins: DataFrame, by: list[str] = ("model",)) -> DataFrame:
     """Per model family: distinct environments, runs, and the most common pin (ties: lowest text)."""
     by = list(by)
-    from harrow.operators.runs import param_fingerprint
-
     as_kv = pins.select(*by, "run", F.col("package").alias("key"), F.concat("op", "version").alias("value"))
     envs = param_fingerprint(as_kv, [*by, "run"]).groupBy(*by).agg(
         F.count_distinct("fp").alias("environments"), F.count(F.lit(1)).alias("runs")

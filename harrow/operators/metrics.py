@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harrow.operators.ordered import over_order, running
+from harrow.session import written
 
 
 def confusion(pred: DataFrame, by: list[str] = ("fold",)) -> DataFrame:
@@ -76,11 +77,14 @@ def scores(pred: DataFrame, cls: int = 0, by: list[str] = ("fold",)) -> DataFram
 def threshold_curve(pred: DataFrame, cls: int = 0, by: list[str] = (), hot_rows=None) -> DataFrame:
     """Precision, recall and F1 of class `cls` when everything scored at or above each distinct score is taken.
 
-    Rows are counted per score first, then summed from the top score down.
+    Rows are counted per score first (and written once), then summed from the top score down.
     """
     by = list(by)
-    per = pred.groupBy(*by, "score").agg(
-        F.sum((F.col("label") == cls).cast("long")).alias("_t"), F.sum((F.col("label") != cls).cast("long")).alias("_f")
+    per = written(
+        pred.groupBy(*by, "score").agg(
+            F.sum((F.col("label") == cls).cast("long")).alias("_t"), F.sum((F.col("label") != cls).cast("long")).alias("_f")
+        ),
+        "scores",
     )
     upto = over_order(per, by, ["-score"], {"tp": running("sum", "_t"), "fp": running("sum", "_f")}, hot_rows)
     total = per.groupBy(*by).agg(F.sum("_t").alias("_pos")) if by else None

@@ -21,7 +21,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import PolynomialExpansion, StandardScaler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -169,7 +169,13 @@ def fit_svc(df: DataFrame, params: dict | None = None, n_fourier: int = 128) ->
     elif kernel != "linear":
         raise ValueError("kernel is 'linear', 'poly' or 'rbf'")
     n = df.count()
-    svc = LinearSVC(featuresCol=last, labelCol="label", regParam=1.0 / (c * max(n, 1)), maxIter=int(p.get("max_iter", 50)))
+    svc = LinearSVC(
+        featuresCol=last,
+        labelCol="label",
+        regParam=1.0 / (c * max(n, 1)),
+        maxIter=int(p.get("max_iter", 50)),
+        tol=float(p.get("tol", 1e-3)),
+    )
     ovr = OneVsRest(classifier=svc, featuresCol=last, labelCol="label", predictionCol="prediction", parallelism=4)
     if weight:
         ovr.setWeightCol(weight)
@@ -211,13 +217,66 @@ def predict(df: DataFrame, model: FittedModel, name: str | None = None, fingerpr
     return out.select(*cols)
 
 
-def class_scores(df: DataFrame, model: FittedModel, member: str, key: str) -> DataFrame:
-    """Long class scores (sample, member, cls, score) for voting, from models that give probabilities."""
-    from pyspark.ml.functions import vector_to_array
+def with_scores(df: DataFrame, model: FittedModel, out: str) -> DataFrame:
+    """The input rows plus an array of class scores that add up to 1.
 
-    out = model.pipeline.transform(_vectors(df, model.spec))
-    col = "probability" if "probability" in out.columns else "rawPrediction"
-    rows = out.select(F.col(key).alias("sample"), F.posexplode(vector_to_array(col)).alias("cls", "score"))
+    Models without probabilities give one margin per class; each goes through the logistic function
+    and the results are scaled to add up to 1 (our stand-in for calibrated probabilities).
+    """
+    scored = model.pipeline.transform(_vectors(df, model.spec))
+    if "probability" in scored.columns:
+        scores = vector_to_array("probability")
+    else:
+        squashed = F.transform(vector_to_array("rawPrediction"), lambda m: 1.0 / (1.0 + F.exp(-m)))
+        total = lambda a: F.greatest(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), F.lit(1e-300))
+        scores = F.transform(squashed, lambda x: x / total(squashed))
+    return scored.select(*df.columns, scores.alias(out))
+
+
+@dataclass
+class FittedVote:
+    """Members voting row by row: their score arrays sit side by side, so no join or shuffle is needed."""
+
+    members: dict[str, FittedModel]
+    how: str = "soft"
+    weights: dict[str, float] = field(default_factory=dict)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        out = df
+        for name, model in self.members.items():
+            out = with_scores(out, model, f"_s_{name}")
+        tally = None
+        for name in self.members:
+            s, w = F.col(f"_s_{name}"), F.lit(float(self.weights.get(name, 1.0)))
+            if self.how == "hard":
+                top = F.array_position(s, F.array_max(s))
+                part = F.transform(s, lambda _, i: F.when(i + 1 == top, w).otherwise(0.0))
+            else:
+                part = F.transform(s, lambda x: x * w)
+            tally = part if tally is None else F.zip_with(tally, part, lambda a, b: F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0)))
+        # The first position of the maximum is the lowest class.
+        tallied = out.withColumn("_tally", tally)
+        pred = (F.array_position("_tally", F.array_max("_tally")) - 1).cast("int")
+        return tallied.select(*df.columns, pred.alias("pred"))
+
+
+def fit_vote(df: DataFrame, params: dict, how: str = "soft", weights: dict[str, float] | None = None) -> FittedVote:
+    """Voting ensemble; `params` maps member names (svc, xgb, lgbm, mlp, rf) to their own parameters."""
+    if how not in ("soft", "hard"):
+        raise ValueError("how is 'soft' or 'hard'")
+    makers = {
+        "svc": fit_svc,
+        "xgb": fit_gbt,
+        "lgbm": lambda d, p: fit_gbt(d, p, flavour="leaf"),
+        "mlp": fit_mlp,
+        "rf": fit_rf,
+    }
+    return FittedVote({name: makers[name](df, p) for name, p in params.items()}, how, weights or {})
+
+
+def class_scores(df: DataFrame, model: FittedModel, member: str, key: str) -> DataFrame:
+    """Long class scores (sample, member, cls, score), the form `metrics.vote` takes."""
+    rows = with_scores(df, model, "_s").select(F.col(key).alias("sample"), F.posexplode("_s").alias("cls", "score"))
     return rows.select("sample", F.lit(member).alias("member"), "cls", "score")
 
 

@@ -23,7 +23,7 @@ from harrow.session import written
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: `how` in row_number, count, sum, max, min, last, lag."""
+    """One running value: `how` in row_number, count, sum, max, min, max_before, last, lag."""
 
     how: str
     col: str | None = None
@@ -37,6 +37,11 @@ def running(how: str, col: str) -> Running:
     return Running(how, col)
 
 
+def best_before(col: str) -> Running:
+    """Maximum over the rows before the current one (null on a group's first row)."""
+    return Running("max_before", col)
+
+
 def last_known(col: str) -> Running:
     """Latest non-null value up to and including the row."""
     return Running("last", col)
@@ -69,6 +74,8 @@ def _local(spec: Running, w) -> Column:
             return F.lag(spec.col).over(w)
         case "last":
             return F.last(spec.col, ignorenulls=True).over(upto)
+        case "max_before":
+            return F.max(spec.col).over(w.rowsBetween(Window.unboundedPreceding, -1))
         case "count" | "sum" | "max" | "min":
             return getattr(F, spec.how)(spec.col).over(upto)
     raise ValueError(f"unknown running value {spec.how!r}")
@@ -83,14 +90,16 @@ def _total(spec: Running) -> Column:
             return F.max_by(F.struct(spec.col), F.col("_seq"))
         case "last":
             return F.max_by(spec.col, F.when(F.col(spec.col).isNotNull(), F.col("_seq")))
+        case "max_before":
+            return F.max(spec.col)
     return getattr(F, spec.how)(spec.col)
 
 
 def _carry(spec: Running, total: str, before) -> Column:
     if spec.how in ("row_number", "count", "sum"):
         return F.sum(total).over(before)
-    if spec.how in ("max", "min"):
-        return getattr(F, spec.how)(total).over(before)
+    if spec.how in ("max", "min", "max_before"):
+        return getattr(F, spec.how[:3])(total).over(before)
     return F.last(total, ignorenulls=True).over(before)
 
 
@@ -100,7 +109,7 @@ def _merge(spec: Running, local: Column, carry: Column) -> Column:
             return local + F.coalesce(carry, F.lit(0))
         case "sum":
             return F.when(carry.isNull(), local).otherwise(carry + F.coalesce(local, F.lit(0)))
-        case "max":
+        case "max" | "max_before":
             return F.greatest(local, carry)
         case "min":
             return F.least(local, carry)
@@ -198,18 +207,28 @@ def exact_quantiles(df: DataFrame, by: list[str], col: str, qs: dict[str, float]
     """Interpolated quantiles per group, exact at any group size: one row per group, one column per entry of `qs`.
 
     Small groups use Spark's `percentile`. Its buffer holds every distinct value of a group, so above
-    `hot_rows` the values are counted first, the counts are summed in order, and the rows at the wanted
-    positions are picked.
+    `hot_rows` the values are counted first and the counts are worked on.
     """
     limit = session_hot_rows(df.sparkSession) if hot_rows is None else hot_rows
     present = df.where(F.col(col).isNotNull())
     if by and not has_hot_group(present, by, limit):
         return present.groupBy(*by).agg(*[F.percentile(col, F.lit(q)).alias(n) for n, q in qs.items()])
+    counts = written(present.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n")), "counts")
+    return quantiles_of_counts(counts, by, col, qs, limit)
+
+
+def quantiles_of_counts(counts: DataFrame, by: list[str], col: str, qs: dict[str, float], hot_rows=None) -> DataFrame:
+    """Quantiles from distinct values with their counts `_n`.
+
+    The counts are summed in order of value, and the values whose rows cover the wanted positions are picked.
+    """
+    limit = session_hot_rows(counts.sparkSession) if hot_rows is None else hot_rows
+    if by and not has_hot_group(counts, by, limit):
+        return counts.groupBy(*by).agg(*[F.percentile(col, F.lit(q), F.col("_n")).alias(n) for n, q in qs.items()])
     keys = by or ["_all"]
     if not by:
-        present = present.withColumn("_all", F.lit(0))
-    counts = present.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
-    upto = over_order(counts, by and keys, [col], {"_cum": running("sum", "_n")}, hot_rows=limit)
+        counts = counts.withColumn("_all", F.lit(0))
+    upto = over_order(counts, by, [col], {"_cum": running("sum", "_n")}, hot_rows=limit)
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     same = None
     for k in keys:

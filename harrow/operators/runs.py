@@ -13,27 +13,31 @@ from pyspark.sql import functions as F
 
 from harrow.functions import values as V
 from harrow.operators.ordered import (
+    best_before,
     exact_quantiles,
+    has_hot_group,
     over_order,
     previous,
+    quantiles_of_counts,
     row_number,
     running,
     size_checked,
 )
+from harrow.session import hot_rows as session_hot_rows
+from harrow.session import written
 
 # ---------------------------------------------------------------- typed views and filters
 
 
 def typed_params(params: DataFrame) -> DataFrame:
     """Untyped params with their type and one column per reading (null where it does not apply)."""
-    v = F.col("value")
-    return params.select(
+    v, kind = F.col("value"), F.col("type")
+    return params.withColumn("type", V.value_type(v)).select(
         "*",
-        V.value_type(v).alias("type"),
-        V.as_long(v).alias("as_int"),
-        V.as_double(v).alias("as_double"),
-        V.as_bool(v).alias("as_bool"),
-        F.when(V.value_type(v) == "text", v).alias("as_text"),
+        F.when(kind == "int", v.try_cast("long")).alias("as_int"),
+        F.when(kind.isin("int", "double"), v.try_cast("double")).alias("as_double"),
+        F.when(kind == "bool", v == "True").alias("as_bool"),
+        F.when(kind == "text", v).alias("as_text"),
     )
 
 
@@ -74,8 +78,8 @@ def param_fingerprint(params: DataFrame, by: list[str] = ("run",)) -> DataFrame:
     combines map-side: a run with any number of params never has to fit in one task.
     """
     pair = F.concat(F.col("key"), F.lit("="), F.coalesce("value", F.lit("None")))
-    quarters = V.digest_parts(pair)
-    rows = params.select(*by, "key", "value").distinct()
+    rows = params.select(*by, F.md5(pair).alias("_h")).distinct()
+    quarters = V.digest_parts(F.col("_h"))
     sums = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_params"), *[F.sum(q).alias(f"_q{i}") for i, q in enumerate(quarters)]
     )
@@ -179,11 +183,14 @@ def leaderboard(trials: DataFrame, levels: list[str] = ("experiment", "script"))
 
 def param_profile(params: DataFrame, by: list[str] = ("script", "key")) -> DataFrame:
     """Numeric search space per (script, key): count, distinct, min, median, max."""
+    by = list(by)
     num = params.select(*by, V.as_double(F.col("value")).alias("x")).where(F.col("x").isNotNull())
-    base = num.groupBy(*by).agg(
-        F.count("x").alias("n"), F.count_distinct("x").alias("distinct"), F.min("x").alias("low"), F.max("x").alias("high")
+    # One row per distinct value, written once: everything below works on these counts.
+    counts = written(num.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("_n")), "counts")
+    base = counts.groupBy(*by).agg(
+        F.sum("_n").alias("n"), F.count(F.lit(1)).alias("distinct"), F.min("x").alias("low"), F.max("x").alias("high")
     )
-    return base.join(exact_quantiles(num, list(by), "x", {"median": 0.5}), list(by))
+    return base.join(quantiles_of_counts(counts, by, "x", {"median": 0.5}), by)
 
 
 def enum_profile(params: DataFrame, by: list[str] = ("script", "key")) -> DataFrame:
@@ -195,9 +202,10 @@ def enum_profile(params: DataFrame, by: list[str] = ("script", "key")) -> DataFr
 def average_ranks(df: DataFrame, by: list[str], col: str, out: str, hot_rows=None) -> DataFrame:
     """Tie-averaged rank of every distinct value per group: (by, col, out).
 
-    Values are counted first, so the ordered pass sees distinct values, not rows.
+    Values are counted first, so the ordered pass sees distinct values, not rows; the counts are
+    written once because they are read more than once.
     """
-    counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
+    counts = written(df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n")), "counts")
     upto = over_order(counts, by, [col], {"_cum": running("sum", "_n")}, hot_rows)
     return upto.select(*by, col, (F.col("_cum") - (F.col("_n") - 1) / 2.0).alias(out))
 
@@ -255,24 +263,33 @@ def trial_no(trials: DataFrame, by: list[str] = ("search",), hot_rows=None) -> D
 
 def best_so_far(trials: DataFrame, by: list[str] = ("search",), hot_rows=None) -> DataFrame:
     """Running best, and whether the trial improved on everything before it."""
-    r = over_order(
-        trials, list(by), ["ts", "run"], {"best": running("max", "objective"), "trial": row_number()}, hot_rows
-    )
-    r = over_order(r, list(by), ["trial"], {"_before": previous("best")}, hot_rows)
+    r = over_order(trials, list(by), ["ts", "run"], {"_before": best_before("objective")}, hot_rows)
+    before, now = F.col("_before"), F.col("objective")
     return r.select(
-        *trials.columns, "best", (F.col("_before").isNull() | (F.col("best") > F.col("_before"))).alias("improved")
+        *trials.columns, F.greatest(before, now).alias("best"), (before.isNull() | (now > before)).alias("improved")
     )
 
 
 def rank_trials(trials: DataFrame, by: list[str], hot_rows=None) -> DataFrame:
     """Rank, dense rank and percent rank by objective, best first.
 
-    Equal objectives share a rank, so ranks are found on counted distinct objectives and joined back.
+    Equal objectives share a rank: when a group is too big for one task, ranks are found on the counted
+    distinct objectives and joined back. Trials without an objective are not ranked.
     """
     by = list(by)
-    counts = trials.groupBy(*by, "objective").agg(F.count(F.lit(1)).alias("_n"))
+    trials = trials.where(F.col("objective").isNotNull())
+    limit = session_hot_rows(trials.sparkSession) if hot_rows is None else hot_rows
+    if not has_hot_group(trials, by, limit):
+        w = Window.partitionBy(*by).orderBy(F.desc("objective"))
+        return trials.select(
+            "*",
+            F.rank().over(w).cast("long").alias("rank"),
+            F.dense_rank().over(w).cast("long").alias("dense_rank"),
+            F.percent_rank().over(w).alias("percent_rank"),
+        )
+    counts = written(trials.groupBy(*by, "objective").agg(F.count(F.lit(1)).alias("_n")), "counts")
     placed = over_order(
-        counts, by, ["-objective"], {"_cum": running("sum", "_n"), "dense_rank": row_number()}, hot_rows
+        counts, by, ["-objective"], {"_cum": running("sum", "_n"), "dense_rank": row_number()}, limit
     ).withColumn("rank", F.col("_cum") - F.col("_n") + 1)
     sizes = counts.groupBy(*by).agg(F.sum("_n").alias("_size"))
     ranks = placed.join(sizes, by).select(
@@ -282,7 +299,7 @@ def rank_trials(trials: DataFrame, by: list[str], hot_rows=None) -> DataFrame:
         "dense_rank",
         F.when(F.col("_size") > 1, (F.col("rank") - 1) / (F.col("_size") - 1)).otherwise(0.0).alias("percent_rank"),
     )
-    return trials.join(ranks, [*by, "objective"])
+    return trials.join(ranks, [*by, "objective"]).select(*trials.columns, "rank", "dense_rank", "percent_rank")
 
 
 def fold_seconds(metrics: DataFrame, by: list[str] = ("run",), tie: list[str] = ("fold",), hot_rows=None) -> DataFrame:
@@ -314,11 +331,14 @@ def top_trials(trials: DataFrame, k: int) -> DataFrame:
 def top_per(trials: DataFrame, by: list[str], n: int) -> DataFrame:
     """The n best trials per group.
 
-    Spark cuts each group to n rows before the shuffle (window group limit), so a hot group sends at
-    most n rows per input partition.
+    Spark cuts each group to n rows before the shuffle (window group limit, up to its threshold), so a
+    hot group sends at most n rows per input partition; a larger n goes through the split-group order.
     """
+    limit = int(trials.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
+        return over_order(trials, list(by), ["-objective", "ts", "run"], {"place": row_number()}).where(F.col("place") <= n)
     w = Window.partitionBy(*by).orderBy(F.desc("objective"), "ts", "run")
-    return trials.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n)
+    return trials.withColumn("place", F.row_number().over(w).cast("long")).where(F.col("place") <= n)
 
 
 # ---------------------------------------------------------------- sets

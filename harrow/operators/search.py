@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -56,23 +57,28 @@ def run_search(
     fit: Callable[[DataFrame, dict], Rule],
     seed: int = 0,
     cls: int = 0,
-    parallelism: int = 4,
+    parallelism: int = 8,
+    rows_per_task: int = 20_000,
 ) -> DataFrame:
     """Evaluate n sampled configurations by k-fold cross-validation; one row per trial.
 
     `df` has `fold` 1..k. The training table is kept in memory or on disk once; trials run as
-    independent Spark jobs from a few driver threads. Only configurations and k scores per trial
-    pass through the driver.
+    independent Spark jobs from `parallelism` driver threads. Only configurations and k scores per
+    trial pass through the driver. A fit visits its rows many times in short jobs, so partitions below
+    `rows_per_task` rows are joined first (never split): small tables then train in few tasks and
+    many at once.
     """
     spark = df.sparkSession
     configs = [r.asDict() for r in search(spark, space, n, seed).orderBy("trial").collect()]
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = max(1, math.ceil(df.count() / rows_per_task))
+    data = df.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    folds_at_once = max(1, math.ceil(parallelism / n))
     try:
 
         def one(config: dict) -> tuple:
             started = time.time()
             params = {k_: v for k_, v in config.items() if k_ != "trial"}
-            rows = cross_validate(data, lambda train: fit(train, params), k, cls, parallelism=2).collect()
+            rows = cross_validate(data, lambda train: fit(train, params), k, cls, parallelism=folds_at_once).collect()
             mean = lambda c: sum(r[c] for r in rows) / len(rows)
             done = time.time()
             return (
@@ -80,7 +86,7 @@ def run_search(
                 float(mean("accuracy")), float(mean("f1")), float(mean("kappa")), len(rows), done - started,
             )
 
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        with ThreadPoolExecutor(max_workers=min(parallelism, n)) as pool:
             results = list(pool.map(one, configs))
     finally:
         data.unpersist()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from harrow.operators import folds as K
 from harrow.operators import models as L
 from harrow.operators import search as H
+from harrow.operators.metrics import vote
 from harrow.plans import fixtures as X
 from harrow.plans.registry import query, rounded
 from harrow.session import scratch_path
@@ -118,11 +119,21 @@ def stored_model(spark, sf):
 
 @query("M6 M12")
 def vote_models(spark, sf):
-    """Forest and perceptron vote with their class probabilities."""
-    from harrow.operators.metrics import vote
-
+    """Forest and perceptron vote with their class probabilities, through the long form."""
     df = _four_classes(spark, sf)
     forest = L.fit_rf(df, {"n_estimators": 5, "max_depth": 4})
     net = L.fit_mlp(df, {"hidden_layer_sizes": (8,), "max_iter": 10})
     scores = L.class_scores(df, forest, "forest", "vec_id").unionByName(L.class_scores(df, net, "net", "vec_id"))
     return rounded(vote(scores, "soft"))
+
+
+@query("M6")
+def vote_ensemble(spark, sf):
+    """Support vectors, boosting and perceptron vote row by row."""
+    df = _four_classes(spark, sf)
+    members = {
+        "svc": {"kernel": "linear", "C": 1.0, "max_iter": 5},
+        "xgb": {"n_estimators": 2, "max_depth": 3},
+        "mlp": {"hidden_layer_sizes": 8, "max_iter": 10},
+    }
+    return L.fit_vote(df, members)(df).select("vec_id", "label", "pred")

@@ -440,7 +440,7 @@ def top_trials(spark, sf):
 
 @query(
     "T2",
-    """SELECT script, run, objective, CAST(place AS INTEGER) AS place FROM (
+    """SELECT script, run, objective, place FROM (
       SELECT *, row_number() OVER (PARTITION BY script ORDER BY objective DESC, ts, run) AS place FROM v_trials) WHERE place <= 5""",
     ("v_trials",),
 )
