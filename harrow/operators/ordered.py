@@ -12,6 +12,7 @@ Every helper here has two ways to the same result:
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from harrow.session import hot_rows as session_hot_rows
 from harrow.session import written
 
+MIN_RANGE_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Running:
@@ -57,12 +60,18 @@ def sort_columns(order: list[str]) -> list[Column]:
     return [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
 
 
-def has_hot_group(df: DataFrame, by: list[str], limit: int) -> bool:
-    """True when some group exceeds `limit` rows (counts are combined map-side; one number comes back)."""
+def group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
+    """(rows of the largest group, rows in all). Counts combine map-side; two numbers come back."""
     if not by:
-        return True
-    top = df.groupBy(*by).count().agg(F.max("count")).first()[0]
-    return top is not None and top > limit
+        n = df.count()
+        return n, n
+    top = df.groupBy(*by).count().agg(F.max("count"), F.sum("count")).first()
+    return top[0] or 0, top[1] or 0
+
+
+def has_hot_group(df: DataFrame, by: list[str], limit: int) -> bool:
+    """True when some group exceeds `limit` rows, or when all rows are one group."""
+    return not by or group_sizes(df, by)[0] > limit
 
 
 def _local(spec: Running, w) -> Column:
@@ -123,12 +132,11 @@ def _plain(df, by, order, cols) -> DataFrame:
     return df.select("*", *[_local(s, w).alias(n) for n, s in cols.items()])
 
 
-def _ranged(df, by, order, cols) -> DataFrame:
+def _ranged(df, by, order, cols, parts) -> DataFrame:
     keep = df.columns
     keys = by or ["_all"]
     if not by:
         df = df.withColumn("_all", F.lit(0))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(parts, *[F.col(k) for k in keys], *sort_columns(order))
     # The range bounds come from a sample, so the placement is written down before it is read twice.
     r = written(placed.withColumn("_rng", F.spark_partition_id()), "ranges")
@@ -166,9 +174,12 @@ def over_order(df: DataFrame, by: list[str], order: list[str], cols: dict[str, R
     `order` should end in a unique column: ties are otherwise ordered arbitrarily.
     """
     limit = session_hot_rows(df.sparkSession) if hot_rows is None else hot_rows
-    if has_hot_group(df, by, limit):
-        return _ranged(df, by, order, cols)
-    return _plain(df, by, order, cols)
+    largest, rows = group_sizes(df, by)
+    if by and largest <= limit:
+        return _plain(df, by, order, cols)
+    # Enough ranges that each holds about what one task may sort.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _ranged(df, by, order, cols, max(parts, math.ceil(rows / max(limit, MIN_RANGE_ROWS))))
 
 
 def over_frame(df: DataFrame, by: list[str], order: list[str], n: int, build, hot_rows=None) -> DataFrame:
