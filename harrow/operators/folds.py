@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -58,6 +59,18 @@ def standard_scale(df: DataFrame, cols: list[str], by: list[str] = (), fit_on: D
     )
 
 
+ROWS_PER_TASK = 20_000
+
+
+def training_size(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Join partitions that hold few rows (never splits, never moves rows apart).
+
+    An iterative fit visits its rows many times in short jobs: a small table trains fastest in few
+    tasks. Above `rows_per_task` rows per partition nothing changes.
+    """
+    return df.coalesce(max(1, math.ceil(df.count() / rows_per_task)))
+
+
 # A fitted rule: takes rows, gives the same rows plus `pred`.
 Rule = Callable[[DataFrame], DataFrame]
 
@@ -110,6 +123,7 @@ def majority_rule(by: list[str]) -> Callable[[DataFrame], Rule]:
         if not by:
             value = table.first()["pred"]
             return lambda rows: rows.withColumn("pred", F.lit(value))
-        return lambda rows: rows.join(size_checked(table), by, "left")
+        small = size_checked(table)
+        return lambda rows: rows.join(small, by, "left")
 
     return fit

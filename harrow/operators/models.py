@@ -25,7 +25,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.operators.folds import with_class_weight
+from harrow.operators.folds import training_size, with_class_weight
 
 MAX_DEPTH = 30  # Spark's own limit
 
@@ -80,7 +80,7 @@ def _weighted(df: DataFrame, params: dict) -> tuple[DataFrame, str | None]:
 
 def _fit(kind: str, df: DataFrame, stages: list, spec: dict) -> FittedModel:
     cols = ["label", "_x"] + (["_w"] if "_w" in df.columns else [])
-    ready = _vectors(df, spec).select(*cols)
+    ready = training_size(_vectors(df, spec).select(*cols))
     return FittedModel(kind, Pipeline(stages=stages).fit(ready), spec)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harrow.functions.values import unit_hash
-from harrow.operators.folds import Rule, cross_validate
+from harrow.operators.folds import ROWS_PER_TASK, Rule, cross_validate, training_size
 
 # A dimension: ("uniform", lo, hi), ("loguniform", lo, hi), ("int", lo, hi) or ("choice", [values]).
 Space = dict[str, tuple]
@@ -58,20 +58,18 @@ def run_search(
     seed: int = 0,
     cls: int = 0,
     parallelism: int = 8,
-    rows_per_task: int = 20_000,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Evaluate n sampled configurations by k-fold cross-validation; one row per trial.
 
     `df` has `fold` 1..k. The training table is kept in memory or on disk once; trials run as
     independent Spark jobs from `parallelism` driver threads. Only configurations and k scores per
-    trial pass through the driver. A fit visits its rows many times in short jobs, so partitions below
-    `rows_per_task` rows are joined first (never split): small tables then train in few tasks and
-    many at once.
+    trial pass through the driver. Small partitions are joined first, so small tables train in few
+    tasks and many trials at once.
     """
     spark = df.sparkSession
     configs = [r.asDict() for r in search(spark, space, n, seed).orderBy("trial").collect()]
-    tasks = max(1, math.ceil(df.count() / rows_per_task))
-    data = df.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    data = training_size(df, rows_per_task).persist(StorageLevel.MEMORY_AND_DISK)
     folds_at_once = max(1, math.ceil(parallelism / n))
     try:
 

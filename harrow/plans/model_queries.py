@@ -56,8 +56,8 @@ def fit_svc_rbf(spark, sf):
 
 @query("M4")
 def fit_svc_poly(spark, sf):
-    df = _four_classes(spark, sf).withColumn("features", F.slice("features", 1, 16))
-    return _predicted(df, L.fit_svc(df, {"kernel": "poly", "degree": 2, "C": 1.0, "max_iter": 10}))
+    df = _four_classes(spark, sf)
+    return _predicted(df, L.fit_svc(df, {"kernel": "poly", "degree": 2, "C": 1.0, "max_iter": 5}))
 
 
 @query("M5")

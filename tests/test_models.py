@@ -25,9 +25,9 @@ FITS = {
     "rf": (L.fit_rf, {"n_estimators": 5, "max_depth": 4, "class_weight": "balanced"}),
     "gbt": (L.fit_gbt, {"n_estimators": 3, "max_depth": 3, "num_class": 3}),
     "lgbm": (lambda d, p: L.fit_gbt(d, p, "leaf"), {"n_estimators": 3, "num_leaves": 8, "min_child_samples": 2}),
-    "svc": (L.fit_svc, {"kernel": "linear", "C": 10.0, "class_weight": "balanced"}),
-    "svc_rbf": (L.fit_svc, {"kernel": "rbf", "C": 10.0, "gamma": "scale"}),
-    "svc_poly": (L.fit_svc, {"kernel": "poly", "degree": 2, "C": 10.0}),
+    "svc": (L.fit_svc, {"kernel": "linear", "C": 10.0, "class_weight": "balanced", "max_iter": 10}),
+    "svc_rbf": (L.fit_svc, {"kernel": "rbf", "C": 10.0, "gamma": "scale", "max_iter": 10}),
+    "svc_poly": (L.fit_svc, {"kernel": "poly", "degree": 2, "C": 10.0, "max_iter": 10}),
     "mlp": (L.fit_mlp, {"hidden_layer_sizes": (6,), "max_iter": 40}),
 }
 
@@ -42,7 +42,7 @@ def test_learns(blobs, name):
 
 @pytest.mark.parametrize("how", ["soft", "hard"])
 def test_vote(blobs, how):
-    params = {"svc": {"kernel": "linear"}, "rf": {"n_estimators": 3, "max_depth": 3}, "mlp": {"hidden_layer_sizes": 5, "max_iter": 20}}
+    params = {"svc": {"kernel": "linear", "max_iter": 10}, "rf": {"n_estimators": 3, "max_depth": 3}, "mlp": {"hidden_layer_sizes": 5, "max_iter": 20}}
     pred = L.fit_vote(blobs, params, how, {"rf": 2.0})(blobs)
     assert pred.agg(F.avg((F.col("label") == F.col("pred")).cast("int"))).first()[0] > 0.9
 
@@ -67,7 +67,7 @@ def test_samples_stay_in_their_space(spark):
 
 
 def test_save_and_load_keeps_the_feature_map(spark, blobs):
-    model = L.fit_svc(blobs, {"kernel": "rbf", "C": 10.0})
+    model = L.fit_svc(blobs, {"kernel": "rbf", "C": 10.0, "max_iter": 5})
     root = scratch_path(spark, "models")
     L.save_model(model, root, "svc")
     loaded = L.load_model(spark, root, "svc")
