@@ -95,6 +95,17 @@ def of_script(runs: DataFrame, script: str) -> DataFrame:
     return runs.where(F.col("script") == script)
 
 
+def of_experiment(runs: DataFrame, experiment: str) -> DataFrame:
+    """One experiment; on tables written by experiment only its folder is read."""
+    return runs.where(F.col("experiment_id") == experiment)
+
+
+def with_metric(runs: DataFrame, metrics: DataFrame, key: str) -> DataFrame:
+    """Runs that log `key`."""
+    logged = metrics.where(F.col("key") == key).select("run").distinct()
+    return runs.join(logged, "run", "left_semi")
+
+
 def at_least(trials: DataFrame, floor: float, col: str = "objective") -> DataFrame:
     """Trials that log the metric and reach `floor`."""
     return trials.where(F.col(col).isNotNull() & (F.col(col) >= floor))

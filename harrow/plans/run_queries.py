@@ -189,6 +189,19 @@ def filter_runs(spark, sf):
     return ok.join(done, "run", "left_semi").select("run", "objective")
 
 
+@query(
+    "P13",
+    """SELECT DISTINCT run FROM v_params p WHERE script = 'O'
+    AND EXISTS (SELECT 1 FROM v_params q WHERE q.run = p.run AND q.key = 'class_weight' AND q.value = 'None')""",
+    ("v_params",),
+)
+def runs_with_metric(spark, sf):
+    """Runs of one experiment that log a key."""
+    rows = X.v_params(spark, sf).withColumnRenamed("script", "experiment_id")
+    runs = R.of_experiment(rows, "O").select("run").distinct()
+    return R.with_metric(runs, rows.where(F.col("value") == "None"), "class_weight")
+
+
 @query("P14", "SELECT doc_id AS run, md5(text) AS note FROM documents WHERE contains(lower(text), 'data')")
 def search_notes(spark, sf):
     tags = X.table(spark, sf, "documents").select(

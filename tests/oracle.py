@@ -43,9 +43,8 @@ def _rows(rows, order):
 
 def compare(df, con, sql: str) -> list[str]:
     """Differences between a Spark result and the SQL's; empty when equal."""
-    rel = con.execute(sql)
-    names = [d[0] for d in rel.description]
-    types = dict(zip(names, [str(d[1]) for d in rel.description]))
+    rel = con.sql(sql)
+    names, types = rel.columns, dict(zip(rel.columns, map(str, rel.types)))
     right = rel.fetchall()
     left = df.collect()
     out = []
@@ -53,9 +52,8 @@ def compare(df, con, sql: str) -> list[str]:
         return [f"columns {sorted(df.columns)} != {sorted(names)}"]
     for f in df.schema.fields:
         want = SAME.get(f.dataType.simpleString(), f.dataType.simpleString())
-        if types[f.name] not in (want, '"NULL"', "NULL") and not (types[f.name] == "STRING" and want == "VARCHAR"):
-            if not (want == "INTEGER" and types[f.name] == "NUMBER") and types[f.name] != "NUMBER":
-                out.append(f"type of {f.name}: {want} != {types[f.name]}")
+        if types[f.name] != want:
+            out.append(f"type of {f.name}: {want} != {types[f.name]}")
     order = sorted(range(len(names)), key=lambda i: names[i])
     a = _rows(left, [df.columns.index(names[i]) for i in order])
     b = _rows(right, order)

@@ -112,3 +112,11 @@ def test_written_tree_reads_back(spark, tmp_path):
     sizes = runtree.write_tree(files, str(tmp_path)).collect()
     assert sorted(r["bytes"] for r in sizes) == [1, 4]
     assert {(r["key"], r["value"]) for r in runtree.read_params(spark, str(tmp_path)).collect()} == {("a b", "x"), ("c", "None")}
+
+
+def test_experiment_ids_stay_text(spark):
+    rows = spark.createDataFrame([("007", "r", "k", "1"), ("8", "s", "k", "2")], "experiment_id string, run string, key string, value string")
+    path = scratch_path(spark, "runs")
+    runtree.write_runs(rows, path)
+    assert sorted(r["experiment_id"] for r in runtree.read_runs(spark, path).collect()) == ["007", "8"]
+    assert [r["run"] for r in runtree.read_runs(spark, path, "007").collect()] == ["r"]
