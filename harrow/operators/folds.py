@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.operators.metrics import scores
-from harrow.operators.ordered import over_order, row_number, size_checked
+from harrow.operators.ordered import join_groups, over_order, row_number, size_checked
 
 
 def stratified_folds(df: DataFrame, label: str, k: int, order: list[str], hot_rows=None) -> DataFrame:
@@ -34,7 +34,7 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 def with_class_weight(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Rows with their class weight; the weight table is broadcast only after its size was read."""
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(size_checked(w), label)
+    return join_groups(df, size_checked(w), [label])
 
 
 def standard_scale(df: DataFrame, cols: list[str], by: list[str] = (), fit_on: DataFrame | None = None) -> DataFrame:
@@ -48,7 +48,7 @@ def standard_scale(df: DataFrame, cols: list[str], by: list[str] = (), fit_on: D
         *[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols]
     )
     if by:
-        joined = df.join(size_checked(stats), by)
+        joined = join_groups(df, size_checked(stats), by)
         m, s = (lambda c: F.col(f"_m_{c}")), (lambda c: F.col(f"_s_{c}"))
     else:
         row = stats.first()
@@ -124,6 +124,6 @@ def majority_rule(by: list[str]) -> Callable[[DataFrame], Rule]:
             value = table.first()["pred"]
             return lambda rows: rows.withColumn("pred", F.lit(value))
         small = size_checked(table)
-        return lambda rows: rows.join(small, by, "left")
+        return lambda rows: join_groups(rows, small, by, "left")
 
     return fit

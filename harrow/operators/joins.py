@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harrow.operators.ordered import last_known, over_order, running, size_checked
+from harrow.operators.ordered import join_groups, last_known, over_order, running, size_checked
 from harrow.operators.runs import param_fingerprint
 from harrow.session import written
 
@@ -68,7 +68,7 @@ def overlaps(runs: DataFrame, by: list[str] = ("search",), hot_rows=None) -> Dat
 
     A run [start, end) meets every run that starts before its end and has not ended by its start:
     starts before `end` minus ends up to `start`, minus itself. Both counts are running sums over one
-    ordering of the instants, so no pair of runs is ever formed.
+    ordering of the instants, so no pair of runs is ever formed. Runs of no length meet nothing.
     """
     by = list(by)
     spans = runs.where(F.col("end_time") > F.col("start_time"))
@@ -164,7 +164,7 @@ def env_census(pins: DataFrame, by: list[str] = ("model",)) -> DataFrame:
     pin = F.concat("package", "op", "version")
     used = pins.select(*by, pin.alias("pin"), "run").groupBy(*by, "pin").agg(F.count_distinct("run").alias("n"))
     common = used.groupBy(*by).agg(F.min_by(F.struct("pin", "n"), F.struct(-F.col("n"), F.col("pin"))).alias("_c"))
-    return envs.join(common, by).select(
+    return join_groups(envs, common, by).select(
         *by, "environments", "runs", F.col("_c.pin").alias("common_pin"), F.col("_c.n").alias("common_runs")
     )
 

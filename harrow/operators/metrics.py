@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harrow.operators.ordered import over_order, running
+from harrow.operators.ordered import join_groups, over_order, running
 from harrow.session import written
 
 
@@ -89,7 +89,7 @@ def threshold_curve(pred: DataFrame, cls: int = 0, by: list[str] = (), hot_rows=
     upto = over_order(per, by, ["-score"], {"tp": running("sum", "_t"), "fp": running("sum", "_f")}, hot_rows)
     total = per.groupBy(*by).agg(F.sum("_t").alias("_pos")) if by else None
     if by:
-        upto = upto.join(total, by)
+        upto = join_groups(upto, total, by)
     else:
         # One number for the whole table.
         upto = upto.withColumn("_pos", F.lit(per.agg(F.sum("_t")).first()[0] or 0))

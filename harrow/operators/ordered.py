@@ -241,11 +241,7 @@ def quantiles_of_counts(counts: DataFrame, by: list[str], col: str, qs: dict[str
         counts = counts.withColumn("_all", F.lit(0))
     upto = over_order(counts, by, [col], {"_cum": running("sum", "_n")}, hot_rows=limit)
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    same = None
-    for k in keys:
-        c = F.col(f"u.{k}").eqNullSafe(F.col(f"s.{k}"))
-        same = c if same is None else same & c
-    placed = upto.alias("u").join(sizes.alias("s"), same).select("u.*", "s._size")
+    placed = join_groups(upto, sizes, keys)
 
     def at(position: Column) -> Column:
         inside = (F.col("_cum") - F.col("_n") <= position) & (position < F.col("_cum"))
@@ -267,6 +263,17 @@ def quantiles_of_counts(counts: DataFrame, by: list[str], col: str, qs: dict[str
     )
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on group keys where null is a group like any other; columns of `left`, then the rest of `right`."""
+    rest = [c for c in right.columns if c not in keys]
+    r = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *rest)
+    on = None
+    for k in keys:
+        same = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        on = same if on is None else on & same
+    return left.join(r, on, how).select(*left.columns, *rest)
+
+
 def size_checked(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Broadcastable copy of `df` when it has at most `max_rows` rows; else `df` itself, for a shuffle join.
 

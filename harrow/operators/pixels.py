@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.functions.bands import GAIN, OFFSET, SCALE, STRETCH_BANDS, stretch
-from harrow.operators.ordered import exact_quantiles, has_hot_group
+from harrow.operators.ordered import exact_quantiles, has_hot_group, join_groups
 from harrow.session import hot_rows as session_hot_rows
 
 
@@ -45,4 +45,4 @@ def composite(pixels: DataFrame, bands: list[str], how: str = "median", period:
     medians = exact_quantiles(long, [*by, "band"], "v", {"m": 0.5}, hot_rows=limit)
     bands_wide = medians.groupBy(*by).pivot("band", bands).agg(F.max("m"))
     counts = clear.groupBy(*by).agg(count)
-    return counts.join(bands_wide, by, "left").select(*by, *bands, "clear")
+    return join_groups(counts, bands_wide, by, "left").select(*by, *bands, "clear")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harrow.operators.ordered import size_checked
+from harrow.operators.ordered import join_groups, size_checked
 
 MAX_LEVELS = 256
 
@@ -90,4 +90,4 @@ def zonal_shares(pixels: DataFrame, zone: list[str], cls: str = "cls") -> DataFr
     zone = list(zone)
     counts = pixels.groupBy(*zone, cls).agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy(*zone).agg(F.sum("n").alias("_size"))
-    return counts.join(sizes, zone).select(*zone, cls, "n", (F.col("n") / F.col("_size")).alias("share"))
+    return join_groups(counts, sizes, zone).select(*zone, cls, "n", (F.col("n") / F.col("_size")).alias("share"))

@@ -16,6 +16,7 @@ from harrow.operators.ordered import (
     best_before,
     exact_quantiles,
     has_hot_group,
+    join_groups,
     over_order,
     previous,
     quantiles_of_counts,
@@ -201,12 +202,12 @@ def param_profile(params: DataFrame, by: list[str] = ("script", "key")) -> DataF
     base = counts.groupBy(*by).agg(
         F.sum("_n").alias("n"), F.count(F.lit(1)).alias("distinct"), F.min("x").alias("low"), F.max("x").alias("high")
     )
-    return base.join(quantiles_of_counts(counts, by, "x", {"median": 0.5}), by)
+    return join_groups(base, quantiles_of_counts(counts, by, "x", {"median": 0.5}), by)
 
 
 def enum_profile(params: DataFrame, by: list[str] = ("script", "key")) -> DataFrame:
     """How often each non-numeric value was tried."""
-    text = params.where(V.value_type(F.col("value")).isin("text", "bool", "null"))
+    text = params.where(~V.value_type(F.col("value")).isin("int", "double"))
     return text.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -226,7 +227,7 @@ def param_effect(trials: DataFrame, by: list[str] = ("script", "key")) -> DataFr
     by = list(by)
     rx = average_ranks(trials, by, "x", "rx")
     ry = average_ranks(trials, by, "objective", "ry")
-    ranked = trials.join(rx, [*by, "x"]).join(ry, [*by, "objective"])
+    ranked = join_groups(join_groups(trials, rx, [*by, "x"]), ry, [*by, "objective"])
     return ranked.groupBy(*by).agg(
         F.corr("x", "objective").alias("pearson"), F.corr("rx", "ry").alias("spearman"), F.count(F.lit(1)).alias("n")
     )
@@ -261,7 +262,7 @@ def durations(runs: DataFrame, by: list[str] = ("script",)) -> DataFrame:
     ends = runs.groupBy(*by).agg(
         F.count("seconds").alias("runs"), F.min("seconds").alias("shortest"), F.max("seconds").alias("longest")
     )
-    return ends.join(exact_quantiles(runs, by, "seconds", {"median": 0.5}), by)
+    return join_groups(ends, exact_quantiles(runs, by, "seconds", {"median": 0.5}), by, "left")
 
 
 # ---------------------------------------------------------------- order inside a search
@@ -303,14 +304,14 @@ def rank_trials(trials: DataFrame, by: list[str], hot_rows=None) -> DataFrame:
         counts, by, ["-objective"], {"_cum": running("sum", "_n"), "dense_rank": row_number()}, limit
     ).withColumn("rank", F.col("_cum") - F.col("_n") + 1)
     sizes = counts.groupBy(*by).agg(F.sum("_n").alias("_size"))
-    ranks = placed.join(sizes, by).select(
+    ranks = join_groups(placed, sizes, by).select(
         *by,
         "objective",
         "rank",
         "dense_rank",
         F.when(F.col("_size") > 1, (F.col("rank") - 1) / (F.col("_size") - 1)).otherwise(0.0).alias("percent_rank"),
     )
-    return trials.join(ranks, [*by, "objective"]).select(*trials.columns, "rank", "dense_rank", "percent_rank")
+    return join_groups(trials, ranks, [*by, "objective"])
 
 
 def fold_seconds(metrics: DataFrame, by: list[str] = ("run",), tie: list[str] = ("fold",), hot_rows=None) -> DataFrame:

@@ -10,7 +10,7 @@ from harrow.operators import search as H
 from harrow.operators.metrics import vote
 from harrow.plans import fixtures as X
 from harrow.plans.registry import query, rounded
-from harrow.session import scratch_path
+from harrow.session import scratch_path, written
 
 
 def _predicted(df, model):
@@ -100,7 +100,7 @@ def run_search(spark, sf):
 
 @query("M8")
 def cross_validate_rf(spark, sf):
-    df = K.stratified_folds(_four_classes(spark, sf), "label", 5, ["vec_id"])
+    df = written(K.stratified_folds(_four_classes(spark, sf), "label", 5, ["vec_id"]), "folds")
     params = {"n_estimators": 10, "max_depth": 4}
     return rounded(K.cross_validate(df, lambda train: L.fit_rf(train, params), 5))
 

@@ -235,3 +235,18 @@ def test_top_per_beyond_the_group_limit(spark):
     w = Window.orderBy(F.desc("objective"), "ts", "run")
     want = {r["run"] for r in df.withColumn("n", F.row_number().over(w)).where("n <= 1500").collect()}
     assert {r["run"] for r in rows} == want
+
+
+@pytest.mark.parametrize("hot", [1, 10_000])
+def test_null_groups_are_kept(spark, hot):
+    from harrow.operators import folds as K
+    from harrow.operators import runs as R
+
+    df = skewed(spark).where("v is not null").withColumnRenamed("g", "script").withColumn("objective", F.col("v"))
+    n = df.count()
+    assert R.rank_trials(df, ["script"], hot_rows=hot).count() == n
+    assert K.standard_scale(df, ["v"], ["script"]).count() == n
+    assert K.with_class_weight(df, "script").count() == n
+    series = df.withColumnRenamed("script", "series").withColumn("t", F.col("id").cast("long")).withColumnRenamed("v", "value")
+    assert S.series_features(series, hot_rows=hot).count() == series.select("series").distinct().count()
+    assert G.zonal_shares(df.withColumn("cls", F.col("t") % 3), ["script"]).agg(F.sum("n")).first()[0] == n
