@@ -25,6 +25,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from harrow.llm.common import written
 from harrow.llm.text import blocks, column_bytes, mixed, powers, prefix_codes, word_codes
@@ -320,7 +322,7 @@ def _verdicts(length: int):
     return run
 
 
-def _cut(length: int, bits: int, schema: pa.Schema, carry_types: list[pa.DataType], with_text: bool):
+def _cut(length: int, bits: int, schema: pa.Schema, carry_types: list[pa.DataType], with_text: bool, digests: bool):
     def run(batches):
         for r in _rows(batches):
             ids, data, off, (a, b, _, text, _), cls, rep = _classes(r, length, bits)
@@ -346,10 +348,10 @@ def _cut(length: int, bits: int, schema: pa.Schema, carry_types: list[pa.DataTyp
             start[at] = gone[at]
             total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[off])
             kept = [data[s:e][~gone[s:e]].tobytes() for s, e in zip(off[:-1], off[1:])]
-            cols = [
-                pa.array(ids, pa.int64(), mask=ids == NO_ID), pa.array(np.diff(off)), pa.array(total(gone)), pa.array(total(start)),
-                pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
-            ]
+            cols = []
+            if digests:
+                cols = [pa.array(ids, pa.int64(), mask=ids == NO_ID), pa.array(np.diff(off)), pa.array(total(gone)), pa.array(total(start))]
+                cols.append(pa.array([hashlib.sha256(k).hexdigest() for k in kept]))
             if with_text:
                 cols.append(pa.array([k.decode("utf-8", "ignore") for k in kept]))
             if r["rest"]:
@@ -361,16 +363,15 @@ def _cut(length: int, bits: int, schema: pa.Schema, carry_types: list[pa.DataTyp
 
 
 def without_repeats(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, with_text: bool = False
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, with_text: bool = False, digests: bool = True
 ) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and `kept_text`, and `carry` columns).
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 with `kept_text` and the `carry` columns
+    where asked for; without `digests` only those.
 
     A byte goes if a `length`-byte string that covers it also starts in a document with a smaller doc_id, judged on the
     input texts. Null text is empty. Rows that share a doc_id do not cut each other; a null doc_id counts as smallest.
     `length` may be 8 to 64. kept_text drops bytes of a character that was cut in two. Empty table: no rows.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     if not 8 <= length <= 64:
         raise ValueError("length must be 8 to 64")
     carry = carry or []
@@ -386,11 +387,11 @@ def without_repeats(
     hits = written(entries.groupBy("bucket").applyInPandas(_verdicts(length), "seg long, hits binary"), "hits")
     hits = hits.groupBy("seg").agg(F.collect_list("hits").alias("hits"))
     kept = [docs.select(docs[c].alias(c)).schema[0] for c in carry]
-    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
-    out = spark.createDataFrame([], fields).schema
+    fields = ["doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"] * digests + ["kept_text string"] * with_text
+    out = StructType.fromDDL(", ".join(fields))
     for f in kept:
         out = out.add(f.name, f.dataType, True)
     schema = to_arrow_schema(out)
     cut = seg.join(marks, "seg", "left").join(hits, "seg", "left")
     types = [schema.field(i).type for i in range(len(schema) - len(carry), len(schema))]
-    return cut.mapInArrow(_cut(length, bits, schema, types, with_text), out)
+    return cut.mapInArrow(_cut(length, bits, schema, types, with_text, digests), out)
