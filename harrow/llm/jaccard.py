@@ -244,7 +244,7 @@ def _join_blocks(percent: int):
 def _families(reps: DataFrame, percent: int, group_max: int) -> DataFrame:
     """(node, component): classes that may be linked, directly or through others, share a component."""
     rare = reps.select("rep", "n", F.explode("rare").alias("key"))
-    counted = rare.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("df > 1")
+    counted = written(rare.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("df > 1"), "shared")
     a = counted.where(F.col("df") <= group_max)
     b = a.select(F.col("rep").alias("rep_b"), F.col("n").alias("n_b"), "key")
     small, large = F.least("n", "n_b"), F.greatest("n", "n_b")
@@ -299,7 +299,7 @@ def _family_links(d: DataFrame, families: DataFrame, k: int, percent: int) -> Da
     spark = d.sparkSession
     sized = families.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
     members = families.join(sized, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("family"), F.ceil(F.col("m") / BLOCK).alias("blocks"))
-    texts = d.join(members, "doc_id").select("text", F.col("doc_id").alias("rep"), "family", "blocks")
+    texts = d.join(members.hint("merge"), "doc_id").select("text", F.col("doc_id").alias("rep"), "family", "blocks")
     sets = written(texts.mapInArrow(_whole_sets(k), "rep long, family long, blocks long, codes binary"), "members")
     # Small families share tasks; a block of a large one is a task.
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
