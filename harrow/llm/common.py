@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.session import written
 
-__all__ = ["batch", "components", "doc_texts", "public_tokenizer", "table", "written"]
+__all__ = ["batch", "components", "doc_texts", "public_tokenizer", "release_memory", "table", "written"]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -31,6 +34,13 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system, so that idle workers stay small beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges (a, b): (node, component), component = smallest node.
 

@@ -4,7 +4,7 @@ Suffixes are taken at content-chosen places only: each window of `length` bytes
 ANCHOR-byte strings), so equal windows have equal anchors wherever they stand. A run is what consecutive windows of one
 anchor cover together.
 
-1. `segments`: texts are packed once into segments of a few MB (shared folder).
+1. `segments`: texts are packed once into segments of about 1 MB (shared folder).
 2. Anchors that occur in one document only cannot start a match: a counting pass over 32-bit remainders per bucket marks the others.
 3. The runs at shared anchors go to their anchor's bucket. There, new documents arrive in batches in order of doc_id; equal runs
    are matched whole, and the windows of what is left form the batch's suffix array, which is merge-scanned against
@@ -28,13 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from harrow.llm.common import written
+from harrow.llm.common import release_memory, written
 from harrow.llm.text import blocks, column_bytes, mixed, powers, prefix_codes, word_codes
 
 LENGTH = 50
 ANCHOR = 24
-SEGMENT_BYTES = 4 << 20
-BUCKET_BYTES = 64 << 20  # text per bucket, on average
+SEGMENT_BYTES = 1 << 20
+BUCKET_BYTES = 16 << 20  # text per bucket, on average
+HEADS_AT_ONCE = 100_000
 BATCH_HEADS = 8192
 NO_ID = -(2**63)
 
@@ -71,13 +72,14 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tupl
     final = inside.copy()
     final[:-1] &= ~inside[1:] | (at[1:] != at[:-1])
     a, b = np.flatnonzero(first), np.flatnonzero(final)
-    return a, b, at[a], np.searchsorted(offsets, a, "right") - 1, code[at[a]]
+    # Anchors are the lowest codes, so the codes are mixed anew before buckets are taken from them.
+    return a, b, at[a], np.searchsorted(offsets, a, "right") - 1, mixed(code[at[a]] + np.uint64(1))
 
 
 def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """`runs_of` over blocks, with places in the whole of `data`."""
     parts = []
-    for s, _, d, o in blocks(data, offsets, 1 << 19):
+    for s, _, d, o in blocks(data, offsets, 1 << 18):
         a, b, at, text, code = runs_of(d, o, length)
         parts.append((a + offsets[s], b + offsets[s], at + offsets[s], text + s, code))
     return tuple(np.concatenate(x) for x in zip(*parts)) if parts else runs_of(np.empty(0, np.uint8), np.zeros(1, np.int64), length)
@@ -135,7 +137,7 @@ def covered_heads(heads: np.ndarray, docs: np.ndarray, batch: int = BATCH_HEADS)
 
 
 def segments(docs: DataFrame, text_col: str, id_col: str, carry: list[str]) -> DataFrame:
-    """(seg, ids, lens, data, rest): texts of a few MB, compressed, with the other columns beside them."""
+    """(seg, ids, lens, data, rest): texts of about SEGMENT_BYTES, compressed, with the other columns beside them."""
     cols = [docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text"), *[docs[c].alias(f"c{i}") for i, c in enumerate(carry)]]
 
     def run(batches):
@@ -169,6 +171,7 @@ def _rows(batches) -> Iterator[dict]:
     for b in batches:
         for i in range(b.num_rows):
             yield {n: b.column(j)[i].as_py() for j, n in enumerate(b.schema.names)}
+            release_memory()
 
 
 def _short(code: np.ndarray, bits: int) -> np.ndarray:
@@ -237,7 +240,7 @@ def _classes(r: dict, length: int, bits: int):
     pick = np.flatnonzero(shared[again]) if len(again) else np.empty(0, np.int64)
     a, b, at, text, code = a[pick], b[pick], at[pick], text[pick], code[pick]
     content = np.empty(len(a), np.uint64)
-    for s, e, d, o in blocks(data, off, 1 << 19):
+    for s, e, d, o in blocks(data, off, 1 << 18):
         x, y = np.searchsorted(text, [s, e])
         content[x:y] = word_codes(d, a[x:y] - off[s], b[x:y] + length - off[s], lower=False)
     content = mixed(content + (at - a).astype(np.uint64)) ^ code
@@ -288,7 +291,7 @@ def _verdicts(length: int):
         data = np.concatenate(texts)
         start = np.concatenate([[0], np.cumsum(size)])[:-1]
         head, code = np.empty(len(doc), np.uint64), np.empty(len(doc), np.uint64)
-        for x, y, d, o in blocks(data, np.concatenate([start, [len(data)]]), 1 << 20):
+        for x, y, d, o in blocks(data, np.concatenate([start, [len(data)]]), 1 << 18):
             s = o[:-1]
             code[x:y] = mixed(word_codes(d, s, o[1:], lower=False) + left[x:y].astype(np.uint64))
             head[x:y] = word_codes(d, s + left[x:y], s + left[x:y] + min(ANCHOR, length), lower=False)
@@ -302,21 +305,31 @@ def _verdicts(length: int):
         # One run of each kind is left; where an anchor has several kinds, their windows are compared.
         rest = order[new]
         _, again, count = np.unique(head[rest], return_inverse=True, return_counts=True)
-        rest = rest[count[again] > 1]
+        some = np.flatnonzero(count[again] > 1)
+        some = some[np.argsort(again[some], kind="stable")]
+        rest, again = rest[some], again[some]
         windows = size[rest] - length + 1
-        owner = np.repeat(rest, windows)
-        j = np.arange(len(owner)) - np.repeat(np.concatenate([[0], np.cumsum(windows)])[:-1], windows)
-        if len(owner):
-            place = start[owner] + j
-            heads = np.lib.stride_tricks.sliding_window_view(data, length)[place]
-            heads = np.ascontiguousarray(heads).view(f"S{length}").ravel()
-            hit = covered_heads(heads, doc[owner])
+        # Portions of whole anchors: equal windows have equal anchors.
+        upto = np.cumsum(windows)
+        ends = np.flatnonzero(np.append(again[1:] != again[:-1], True)) + 1 if len(rest) else []
+        x = 0
+        for k, y in enumerate(ends):
+            if y < len(rest) and upto[ends[k + 1] - 1] - (upto[x - 1] if x else 0) <= HEADS_AT_ONCE:
+                continue
+            n = windows[x:y]
+            owner = np.repeat(rest[x:y], n)
+            j = np.arange(len(owner)) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+            heads = np.lib.stride_tricks.sliding_window_view(data, length)[start[owner] + j]
+            hit = covered_heads(np.ascontiguousarray(heads).view(f"S{length}").ravel(), doc[owner])
             np.bitwise_or.at(bits, owner[hit], np.int64(1) << j[hit])
+            x = y
         out, at = [], 0
         for c in classes:
             some = np.flatnonzero(bits[at : at + len(c)])
             out.append(c[some].astype("<i4").tobytes() + bits[at + some].astype("<i8").tobytes())
             at += len(c)
+        del data, texts
+        release_memory()
         return pd.DataFrame({"seg": df["seg"], "hits": out})
 
     return run
