@@ -71,6 +71,9 @@ def overlaps(runs: DataFrame, by: list[str] = ("search",), hot_rows=None) -> Dat
     ordering of the instants, so no pair of runs is ever formed. Runs of no length meet nothing.
     """
     by = list(by)
+    # A run without an end is still running: it ends after every instant.
+    still = F.lit(2**63 - 1).cast("long") if dict(runs.dtypes)["end_time"] == "bigint" else F.lit("9999-12-31").cast(dict(runs.dtypes)["end_time"])
+    runs = runs.withColumn("end_time", F.coalesce(F.col("end_time"), still))
     spans = runs.where(F.col("end_time") > F.col("start_time"))
     # At one instant: first ends are counted, then starts are asked and counted, ends ask before starts count.
     marks = spans.select(
@@ -99,7 +102,7 @@ def concurrency(runs: DataFrame, by: list[str] = (), hot_rows=None) -> DataFrame
     +1 / -1 marks are summed per instant first (map-side), then summed in order.
     """
     by = list(by)
-    marks = runs.select(
+    marks = runs.where(F.col("start_time").isNotNull()).select(
         *by,
         F.explode(
             F.array(
@@ -107,7 +110,7 @@ def concurrency(runs: DataFrame, by: list[str] = (), hot_rows=None) -> DataFrame
                 F.struct(F.col("end_time").alias("t"), F.lit(-1).alias("d")),
             )
         ).alias("m"),
-    ).select(*by, "m.*")
+    ).select(*by, "m.*").where(F.col("t").isNotNull())  # an open run has no end mark
     net = written(marks.groupBy(*by, "t").agg(F.sum("d").alias("change")), "changes")
     return over_order(net, by, ["t"], {"depth": running("sum", "change")}, hot_rows)
 

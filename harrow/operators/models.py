@@ -30,6 +30,15 @@ from harrow.operators.folds import training_size, with_class_weight
 MAX_DEPTH = 30  # Spark's own limit
 
 
+def _depth(asked) -> int:
+    """Depth to fit: none asked for means Spark's limit, more than that is an error."""
+    if not asked:
+        return MAX_DEPTH
+    if int(asked) > MAX_DEPTH:
+        raise ValueError(f"max_depth {asked} is beyond Spark's limit of {MAX_DEPTH}")
+    return int(asked)
+
+
 @dataclass
 class FittedModel:
     """A Spark ML model plus the feature map it was trained on."""
@@ -95,7 +104,7 @@ def fit_rf(df: DataFrame, params: dict | None = None) -> FittedModel:
         predictionCol="prediction",
         numTrees=int(p.get("n_estimators", 100)),
         impurity="gini" if p.get("criterion", "gini") == "gini" else "entropy",
-        maxDepth=min(int(p.get("max_depth") or MAX_DEPTH), MAX_DEPTH),
+        maxDepth=_depth(p.get("max_depth")),
         minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
         featureSubsetStrategy={None: "all", "None": "all"}.get(p.get("max_features", "sqrt"), str(p.get("max_features", "sqrt"))),
         minWeightFractionPerNode=float(p.get("min_weight_fraction_leaf", 0.0)),
@@ -131,7 +140,7 @@ def fit_gbt(df: DataFrame, params: dict | None = None, flavour: str = "depth") -
         labelCol="label",
         maxIter=int(p.get("n_estimators", 100)),
         stepSize=float(p.get("learning_rate", 0.3 if flavour == "depth" else 0.1)),
-        maxDepth=min(int(depth), MAX_DEPTH),
+        maxDepth=_depth(depth),
         minInfoGain=float(gain),
         minInstancesPerNode=leaf,
         subsamplingRate=float(bag),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harrow.functions import values as V
@@ -78,7 +78,9 @@ def param_fingerprint(params: DataFrame, by: list[str] = ("run",)) -> DataFrame:
     md5 of every pair is added up in four 32-bit quarters, so the state per run is five numbers and
     combines map-side: a run with any number of params never has to fit in one task.
     """
-    pair = F.concat(F.col("key"), F.lit("="), F.coalesce("value", F.lit("None")))
+    # The key's length keeps key and value apart; a null value has a mark of its own.
+    value = F.coalesce(F.concat(F.lit("="), F.col("value")), F.lit("!"))
+    pair = F.concat(F.length("key").cast("string"), F.lit(":"), F.col("key"), value)
     rows = params.select(*by, F.md5(pair).alias("_h")).distinct()
     quarters = V.digest_parts(F.col("_h"))
     sums = rows.groupBy(*by).agg(
@@ -152,9 +154,14 @@ def folds_without_mean(metrics: DataFrame, k: int = 5) -> DataFrame:
 # ---------------------------------------------------------------- trials of a search
 
 
+def _valid() -> Column:
+    """Trials that take part in comparisons: a null or NaN objective is no objective."""
+    return F.col("objective").isNotNull() & ~F.isnan("objective")
+
+
 def best_trial(trials: DataFrame, by: list[str] = ("search",), keep: list[str] = ()) -> DataFrame:
     """Highest objective per search; ties go to the earliest logged, then to the lowest run."""
-    ok = trials.where(F.col("objective").isNotNull() & ~F.isnan("objective"))
+    ok = trials.where(_valid())
     fields = ["run", "ts", "objective", *keep]
     first = F.min_by(F.struct(*fields), F.struct(-F.col("objective"), F.col("ts"), F.col("run")))
     return ok.groupBy(*by).agg(first.alias("_b")).select(*by, "_b.*")
@@ -162,7 +169,7 @@ def best_trial(trials: DataFrame, by: list[str] = ("search",), keep: list[str] =
 
 def search_summary(trials: DataFrame, by: list[str] = ("search",)) -> DataFrame:
     """Best, worst and mean objective, number of trials and time span of every search."""
-    ok = trials.where(F.col("objective").isNotNull() & ~F.isnan("objective"))
+    ok = trials.where(_valid())
     return ok.groupBy(*by).agg(
         F.max("objective").alias("best"),
         F.min("objective").alias("worst"),
@@ -185,11 +192,12 @@ def long(df: DataFrame, keys: list[str], by: list[str] = ("run",)) -> DataFrame:
 
 def leaderboard(trials: DataFrame, levels: list[str] = ("experiment", "script")) -> DataFrame:
     """Best / mean / count per (experiment, script), per experiment and overall; `level` 0 is the finest."""
+    known = F.when(_valid(), F.col("objective"))
     return trials.rollup(*levels).agg(
         F.grouping_id().cast("int").alias("level"),
-        F.max("objective").alias("best"),
-        F.avg("objective").alias("mean"),
-        F.count("objective").alias("trials"),
+        F.max(known).alias("best"),
+        F.avg(known).alias("mean"),
+        F.count(known).alias("trials"),
     )
 
 
@@ -275,11 +283,11 @@ def trial_no(trials: DataFrame, by: list[str] = ("search",), hot_rows=None) -> D
 
 def best_so_far(trials: DataFrame, by: list[str] = ("search",), hot_rows=None) -> DataFrame:
     """Running best, and whether the trial improved on everything before it."""
-    r = over_order(trials, list(by), ["ts", "run"], {"_before": best_before("objective")}, hot_rows)
-    before, now = F.col("_before"), F.col("objective")
-    return r.select(
-        *trials.columns, F.greatest(before, now).alias("best"), (before.isNull() | (now > before)).alias("improved")
-    )
+    known = trials.withColumn("_now", F.when(_valid(), F.col("objective")))
+    r = over_order(known, list(by), ["ts", "run"], {"_before": best_before("_now")}, hot_rows)
+    before, now = F.col("_before"), F.col("_now")
+    improved = now.isNotNull() & (before.isNull() | (now > before))
+    return r.select(*trials.columns, F.greatest(before, now).alias("best"), improved.alias("improved"))
 
 
 def rank_trials(trials: DataFrame, by: list[str], hot_rows=None) -> DataFrame:
@@ -289,7 +297,7 @@ def rank_trials(trials: DataFrame, by: list[str], hot_rows=None) -> DataFrame:
     distinct objectives and joined back. Trials without an objective are not ranked.
     """
     by = list(by)
-    trials = trials.where(F.col("objective").isNotNull())
+    trials = trials.where(_valid())
     limit = session_hot_rows(trials.sparkSession) if hot_rows is None else hot_rows
     if not has_hot_group(trials, by, limit):
         w = Window.partitionBy(*by).orderBy(F.desc("objective"))
@@ -337,7 +345,7 @@ def latest_model(models: DataFrame, by: list[str] = ("name",), keep: list[str] =
 
 def top_trials(trials: DataFrame, k: int) -> DataFrame:
     """The k best trials over everything: highest objective, then earliest, then lowest run."""
-    return trials.orderBy(F.desc("objective"), "ts", "run").limit(k)
+    return trials.where(_valid()).orderBy(F.desc("objective"), "ts", "run").limit(k)
 
 
 def top_per(trials: DataFrame, by: list[str], n: int) -> DataFrame:
@@ -346,6 +354,7 @@ def top_per(trials: DataFrame, by: list[str], n: int) -> DataFrame:
     Spark cuts each group to n rows before the shuffle (window group limit, up to its threshold), so a
     hot group sends at most n rows per input partition; a larger n goes through the split-group order.
     """
+    trials = trials.where(_valid())
     limit = int(trials.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > limit:
         return over_order(trials, list(by), ["-objective", "ts", "run"], {"place": row_number()}).where(F.col("place") <= n)

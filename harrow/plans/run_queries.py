@@ -158,7 +158,7 @@ def artifact_uris(spark, sf):
         CAST(q2 AS VARCHAR) || ':' || CAST(q3 AS VARCHAR)) AS fp FROM (
       SELECT run, count(*) AS n_params, sum(('0x' || substr(h, 1, 8))::BIGINT) AS q0, sum(('0x' || substr(h, 9, 8))::BIGINT) AS q1,
         sum(('0x' || substr(h, 17, 8))::BIGINT) AS q2, sum(('0x' || substr(h, 25, 8))::BIGINT) AS q3
-      FROM (SELECT DISTINCT run, md5(key || '=' || value) AS h FROM v_params) GROUP BY run)""",
+      FROM (SELECT DISTINCT run, md5(CAST(length(key) AS VARCHAR) || ':' || key || coalesce('=' || value, '!')) AS h FROM v_params) GROUP BY run)""",
     ("v_params",),
 )
 def param_fingerprint(spark, sf):

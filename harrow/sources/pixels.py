@@ -12,10 +12,11 @@ def read_pixels(spark: SparkSession, path: str, bands: list[str], keys: list[str
 
 
 def write_bands(df: DataFrame, path: str, scene: str = "scene_ts") -> None:
-    """Band tables, one folder per scene date.
+    """Band tables, one folder per scene date; dates written before and not in `df` stay.
 
     Rows of a date are gathered before the write, so a date is a few files; adaptive execution cuts a
     date that is too big for one task.
     """
     dated = df.withColumn("scene_date", F.to_date(scene))
-    dated.hint("rebalance", "scene_date").write.mode("overwrite").partitionBy("scene_date").parquet(path)
+    out = dated.hint("rebalance", "scene_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy("scene_date").parquet(path)

@@ -1,5 +1,6 @@
 """The exact file layout, written with plain Python, read by the scans."""
 
+import os
 from pathlib import Path
 
 import pytest
@@ -105,6 +106,13 @@ def test_new_files_are_compacted_once(spark, tree):
     compact_metrics(spark, str(tree), out, state)
     rows = runtree.read_runs(spark, out, "17")
     assert rows.count() == 4 and rows.where("run = 'ef'").first()["value"] == 0.125
+    with extra.open("a") as f:
+        f.write("31 0.25 3\n")
+    old = Path(tree) / "17/ef/metrics/old"
+    old.write_text("1 0.5 0\n")
+    os.utime(old, (1, 1))
+    assert compact_metrics(spark, str(tree), out, state) == 2
+    assert runtree.read_runs(spark, out).count() == 6
 
 
 def test_written_tree_reads_back(spark, tmp_path):
