@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harrow.llm.common import release_memory
 from harrow.llm.text import blocks, column_bytes, mixed, word_codes, word_spans
 
 BUCKETS = 1 << 20
@@ -99,9 +100,14 @@ def fit_rows(owner: np.ndarray, bucket: np.ndarray, value: np.ndarray, grade: np
     """Maximum likelihood by Adam over all rows; gaps between thresholds stay positive through exp."""
     top = int(grade.max()) if len(grade) else 0
     n = len(grade)
-    often = np.bincount(bucket, minlength=BUCKETS)[bucket] >= LEAST_DOCS
-    owner, bucket, value = owner[often], bucket[often], value[often]
-    used, local = np.unique(bucket, return_inverse=True)
+    # Only buckets with weights stay; compact types keep the driver small.
+    used = np.flatnonzero(np.bincount(bucket, minlength=BUCKETS) >= LEAST_DOCS)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[used] = np.arange(len(used))
+    local = place[bucket]
+    some = np.flatnonzero(local >= 0)
+    owner, local, value = owner[some].astype(np.intp), local[some].astype(np.intp), value[some].astype(np.float32)
+    del some, place, bucket
     w = np.zeros(len(used))
     share = np.array([(grade > j).mean() for j in range(top)]).clip(1e-3, 1 - 1e-3) if n else np.empty(0)
     start = np.log((1 - share) / share)
@@ -162,10 +168,14 @@ def fit(docs: DataFrame, ratings: DataFrame, max_rated: int = MAX_RATED) -> Ordi
     rows = chosen.mapInArrow(run, "grade int, n long, buckets binary, vals binary").collect()
     rows.sort(key=lambda r: (r["grade"], r["n"], r["buckets"], r["vals"]))
     grade = np.array([r["grade"] for r in rows], np.int64)
-    owner = np.repeat(np.arange(len(rows)), [r["n"] for r in rows])
-    bucket = np.frombuffer(b"".join(r["buckets"] for r in rows), "<i4").astype(np.int64)
-    value = np.frombuffer(b"".join(r["vals"] for r in rows), "<f4").astype(np.float64)
-    return fit_rows(owner, bucket, value, grade)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [r["n"] for r in rows])
+    bucket = np.frombuffer(b"".join(r["buckets"] for r in rows), "<i4")
+    value = np.frombuffer(b"".join(r["vals"] for r in rows), "<f4")
+    del rows
+    model = fit_rows(owner, bucket, value, grade)
+    del owner, bucket, value
+    release_memory()
+    return model
 
 
 def _kept(model: OrdinalModel, above: np.ndarray, least: float) -> np.ndarray:
