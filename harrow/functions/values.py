@@ -71,6 +71,15 @@ def parse_pin(line: Column) -> Column:
     )
 
 
+def parse_unpinned(line: Column) -> Column:
+    """'- wheel' -> struct(package, op, version) with null op and version; null for other lines."""
+    none = F.lit(None).cast("string")
+    pattern = r"^\s*-\s*([A-Za-z0-9][A-Za-z0-9_.\-]*)\s*$"
+    return F.when(
+        line.rlike(pattern), F.struct(F.regexp_extract(line, pattern, 1).alias("package"), none.alias("op"), none.alias("version"))
+    )
+
+
 def decode_metric_key(key: Column) -> Column:
     """Metric key -> struct(split, metric, cls, fold, summary).
 

@@ -48,8 +48,11 @@ def kmeanspp(arrays: DataFrame, k: int, seed: int, key: str = "series") -> list[
     if first is None:
         raise ValueError("no series")
     centres = [list(first["values"])]
+    near = arrays.select(key, "values", F.lit(float("inf")).alias("_d"))
     for r in range(1, k):
-        near = arrays.select(key, "values", _nearest_udf(centres)("values")["distance"].alias("_d"))
+        # Only the newest centre is measured; the least distance so far is kept.
+        newest = _nearest_udf(centres[-1:])("values")["distance"]
+        near = written(near.select(key, "values", F.least("_d", newest).alias("_d")), "seeding")
         draw = -F.log(u(r)) / (F.col("_d") * F.col("_d"))
         row = near.where(F.col("_d") > 0).orderBy(draw, key).select("values").first()
         if row is None:  # fewer distinct series than k

@@ -146,9 +146,10 @@ def folds_without_mean(metrics: DataFrame, k: int = 5) -> DataFrame:
     """Runs with fold values of a (split, metric) but no logged mean of it, or the other way round."""
     keys = decode_keys(metrics)
     flags = keys.groupBy("run", "split", "metric").agg(
-        F.count_distinct("fold").alias("folds"), F.max((F.col("summary") == "mean").cast("int")).alias("has_mean")
+        F.count_distinct("fold").alias("folds"), F.max(F.when(F.col("summary") == "mean", 1).otherwise(0)).alias("has_mean")
     )
-    return flags.where((F.col("folds") > 0) & ((F.col("folds") != k) | (F.coalesce("has_mean", F.lit(0)) == 0)))
+    logged = (F.col("folds") > 0) | (F.col("has_mean") == 1)
+    return flags.where(logged & ((F.col("folds") != k) | (F.col("has_mean") == 0)))
 
 
 # ---------------------------------------------------------------- trials of a search

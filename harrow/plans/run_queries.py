@@ -354,6 +354,23 @@ def incomplete_cv(spark, sf):
     return R.incomplete_cv(X.v_kv(spark, sf), by=["run", "key"])
 
 
+@query(
+    "A14",
+    """SELECT run, 'val' AS split, 'kappa' AS metric, count(DISTINCT fold) AS folds, CAST(CASE WHEN run % 2 = 0 THEN 1 ELSE 0 END AS INTEGER) AS has_mean
+    FROM v_kv GROUP BY run HAVING count(DISTINCT fold) <> 5 OR run % 2 <> 0
+    UNION ALL SELECT DISTINCT run, 'val', 'accuracy', 0, 1 FROM v_kv WHERE run % 3 = 0""",
+    ("v_kv",),
+)
+def folds_without_mean(spark, sf):
+    """Every event is a fold value of kappa; even runs log its mean, and each third run a mean accuracy without folds."""
+    kv = X.v_kv(spark, sf)
+    folds = kv.select("run", F.concat(F.lit("Validation kappa in fold "), "fold").alias("key"), "value")
+    means = kv.groupBy("run").agg(F.avg("value").alias("value"))
+    kappa = means.where(F.col("run") % 2 == 0).withColumn("key", F.lit("val_kappa_mean"))
+    accuracy = means.where(F.col("run") % 3 == 0).withColumn("key", F.lit("val_accuracy_mean"))
+    return R.folds_without_mean(folds.unionByName(kappa).unionByName(accuracy))
+
+
 @query(
     "A15",
     """SELECT key, count(DISTINCT run) AS runs, count(DISTINCT run) = 1 AS only_once FROM (

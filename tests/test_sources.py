@@ -42,7 +42,7 @@ def tree(tmp_path):
     put("17/ab/params/note", "two\nlines")
     put("17/cd/tags/mlflow.parentRunId", "ab")
     put("models/m/meta.yaml", "aliases:\n  champion: 3\n  old: 1\ncreation_timestamp: 1\ndescription: ''\nlast_updated_timestamp: 9\nname: forest\n")
-    put("17/ab/artifacts/forest/conda.yaml", "channels:\n- conda-forge\ndependencies:\n- python=3.11.8\n- pip<=25.1.1\n- pip:\n  - numpy==2.1.3\nname: env\n")
+    put("17/ab/artifacts/forest/conda.yaml", "channels:\n- conda-forge\ndependencies:\n- python=3.11.8\n- pip<=25.1.1\n- wheel\n- pip:\n  - numpy==2.1.3\nname: env\n")
     put("17/ab/artifacts/forest/python_env.yaml", "python: 3.11.8\nbuild_dependencies:\n- pip==25.1.1\ndependencies:\n- -r requirements.txt\n")
     put("layers/base/bbox.prj", 'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137.0,298.257223563]],PRIMEM["Greenwich",0.0],UNIT["Degree",0.0174532925199433]]')
     put("layers/base/bbox.cpg", "UTF-8")
@@ -75,6 +75,11 @@ def test_meta(spark, tree):
     assert [(x["experiment_id"], x["name"], x["creation_time"]) for x in e] == [("17", "base lines", 5)]
 
 
+def test_a_repeated_meta_key_keeps_its_first_line(spark, tree):
+    (tree / "17/ab/meta.yaml").write_text(META + "status: 9\n")
+    assert runtree.read_run_meta(spark, str(tree)).first()["status"] == 3
+
+
 def test_registry(spark, tree):
     r = runtree.read_models(spark, str(tree)).first()
     assert (r["name"], r["description"], r["last_updated_timestamp"], r["aliases"]) == ("forest", None, 9, {"champion": "3", "old": "1"})
@@ -84,7 +89,7 @@ def test_pins(spark, tree):
     conda = {tuple(r)[2:] for r in environments.read_env_pins(spark, str(tree)).collect()}
     assert conda == {
         ("forest", "conda.yaml", "python", "=", "3.11.8"), ("forest", "conda.yaml", "pip", "<=", "25.1.1"),
-        ("forest", "conda.yaml", "numpy", "==", "2.1.3"),
+        ("forest", "conda.yaml", "numpy", "==", "2.1.3"), ("forest", "conda.yaml", "wheel", None, None),
     }
     env = environments.read_env_pins(spark, str(tree), "python_env.yaml").collect()
     assert [(r["package"], r["version"]) for r in env] == [("pip", "25.1.1")]
