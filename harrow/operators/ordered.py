@@ -259,7 +259,8 @@ def quantiles_of_counts(counts: DataFrame, by: list[str], col: str, qs: dict[str
     lo, hi, f = "_lo_", "_hi_", "_f_"
     return picked.select(
         *by,
-        *[(F.col(lo + n) + F.col(f + n) * (F.col(hi + n) - F.col(lo + n))).alias(n) for n in qs],
+        # Equal neighbours need no interpolation; infinities would give NaN.
+        *[F.when(F.col(lo + n) == F.col(hi + n), F.col(lo + n)).otherwise(F.col(lo + n) + F.col(f + n) * (F.col(hi + n) - F.col(lo + n))).alias(n) for n in qs],
     )
 
 

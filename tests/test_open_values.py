@@ -31,3 +31,13 @@ def test_fingerprints_keep_key_and_value_apart(spark):
     rows = [(1, "a=b", "c"), (2, "a", "b=c"), (3, "a", None), (4, "a", "None")]
     fp = R.param_fingerprint(spark.createDataFrame(rows, "run long, key string, value string"))
     assert len({r["fp"] for r in fp.collect()}) == 4
+
+
+def test_split_quantiles_keep_infinities(spark):
+    from harrow.operators.ordered import exact_quantiles
+
+    inf = float("inf")
+    df = spark.createDataFrame([("a", v) for v in (1.0, 2.0, inf, inf, inf)] + [("b", -inf)] * 4, "g string, v double")
+    qs = {"q1": 0.1, "q6": 0.6, "q9": 0.9}
+    got = [{tuple(r) for r in exact_quantiles(df, ["g"], "v", qs, rows).collect()} for rows in (None, 2)]
+    assert got[0] == got[1] and ("b", -inf, -inf, -inf) in got[0]
