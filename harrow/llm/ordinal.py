@@ -7,6 +7,7 @@ words by their leading and trailing marks, by their case, and of those that repe
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harrow.llm.common import release_memory
+from harrow.llm.common import release_memory, written
 from harrow.llm.text import blocks, column_bytes, mixed, word_codes, word_spans
 
 BUCKETS = 1 << 20
@@ -96,84 +97,115 @@ class OrdinalModel:
         return out
 
 
-def fit_rows(owner: np.ndarray, bucket: np.ndarray, value: np.ndarray, grade: np.ndarray, steps: int = STEPS, decay: float = 3e-4) -> OrdinalModel:
-    """Maximum likelihood by Adam over all rows; gaps between thresholds stay positive through exp."""
-    top = int(grade.max()) if len(grade) else 0
-    n = len(grade)
-    # Only buckets with weights stay; compact types keep the driver small.
-    used = np.flatnonzero(np.bincount(bucket, minlength=BUCKETS) >= LEAST_DOCS)
+#: Feature values of one training chunk, about; and ranges of doc_id by which the rated sample comes to the driver.
+CHUNK_VALUES = 1 << 18
+SAMPLE_RANGES = 16
+
+Chunk = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # grades, text number, bucket, value
+
+
+def fit_chunks(chunks: Callable[[], Iterable[Chunk]], steps: int = STEPS, decay: float = 3e-4) -> OrdinalModel:
+    """Maximum likelihood by Adam over all rows; gaps between thresholds stay positive through exp.
+
+    `chunks` is read twice: to count, then to keep what has weights in compact types. Every step goes through all chunks,
+    so what it needs besides them is bounded by one chunk.
+    """
+    docs_with, grade_counts = np.zeros(BUCKETS, np.int64), np.zeros(0, np.int64)
+    for grade, _, bucket, _ in chunks():
+        docs_with += np.bincount(bucket, minlength=BUCKETS)
+        here = np.bincount(grade, minlength=len(grade_counts))
+        here[: len(grade_counts)] += grade_counts
+        grade_counts = here
+    used = np.flatnonzero(docs_with >= LEAST_DOCS)
     place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
-    local = place[bucket]
-    some = np.flatnonzero(local >= 0)
-    owner, local, value = owner[some].astype(np.intp), local[some].astype(np.intp), value[some].astype(np.float32)
-    del some, place, bucket
-    w = np.zeros(len(used))
-    share = np.array([(grade > j).mean() for j in range(top)]).clip(1e-3, 1 - 1e-3) if n else np.empty(0)
+    n, top = int(grade_counts.sum()), max(len(grade_counts) - 1, 0)
+    if not top:
+        return OrdinalModel(np.zeros(BUCKETS, np.float32), np.empty(0))
+    data = []
+    for grade, owner, bucket, value in chunks():
+        local = place[bucket]
+        some = local >= 0
+        data.append((grade.astype(np.int64), owner[some].astype(np.int32), local[some], value[some].astype(np.float32)))
+    share = (np.cumsum(grade_counts[::-1])[::-1][1:] / n).clip(1e-3, 1 - 1e-3)
     start = np.log((1 - share) / share)
     gaps = np.log(np.maximum(np.diff(start), 1e-2))
-    params = [w, np.concatenate([start[:1], gaps])]
+    params = [np.zeros(len(used)), np.concatenate([start[:1], gaps])]
     m = [np.zeros_like(p) for p in params]
     v = [np.zeros_like(p) for p in params]
 
     def thresholds(p):
         return np.cumsum(np.concatenate([p[:1], np.exp(p[1:])]))
 
-    for step in range(1, steps + 1) if top else ():
-        t = thresholds(params[1])
-        score = np.bincount(owner, params[0][local] * value, n)
-        edges = np.concatenate([[-np.inf], t, [np.inf]])
-        cdf = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
-        upper, lower = cdf(edges[grade + 1] - score), cdf(edges[grade] - score)
-        chance = np.maximum(upper - lower, 1e-12)
-        du, dl = upper * (1 - upper) / chance, lower * (1 - lower) / chance
-        back = (du - dl) / n  # d loss / d score
-        g_t = np.zeros(top + 2)
-        np.add.at(g_t, grade + 1, -du / n)
-        np.add.at(g_t, grade, dl / n)
-        g_t = g_t[1:-1]
-        tail = np.cumsum(g_t[::-1])[::-1]
-        grads = [np.bincount(local, back[owner] * value, len(used)) + decay * params[0], np.concatenate([tail[:1], tail[1:] * np.exp(params[1][1:])])]
-        for i, g in enumerate(grads):
+    def cdf(x):
+        return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+    for step in range(1, steps + 1):
+        edges = np.concatenate([[-np.inf], thresholds(params[1]), [np.inf]])
+        g_w, g_t = decay * params[0], np.zeros(top + 2)
+        for grade, owner, local, value in data:
+            score = np.bincount(owner, params[0][local] * value, len(grade))
+            upper, lower = cdf(edges[grade + 1] - score), cdf(edges[grade] - score)
+            chance = np.maximum(upper - lower, 1e-12)
+            du, dl = upper * (1 - upper) / chance, lower * (1 - lower) / chance
+            np.add.at(g_t, grade + 1, -du / n)
+            np.add.at(g_t, grade, dl / n)
+            g_w += np.bincount(local, ((du - dl) / n)[owner] * value, len(used))  # d loss / d score, spread over the weights
+        tail = np.cumsum(g_t[1:-1][::-1])[::-1]
+        for i, g in enumerate((g_w, np.concatenate([tail[:1], tail[1:] * np.exp(params[1][1:])]))):
             m[i] += 0.1 * (g - m[i])
             v[i] += 0.001 * (g * g - v[i])
             params[i] = params[i] - 0.1 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
     dense = np.zeros(BUCKETS, np.float32)
     dense[used] = params[0]
-    return OrdinalModel(dense, thresholds(params[1]) if top else np.empty(0))
+    return OrdinalModel(dense, thresholds(params[1]))
+
+
+def _chunked(rows: Iterable) -> Iterator[Chunk]:
+    """Rows (grade, n, buckets, vals) gathered into chunks of about CHUNK_VALUES values."""
+    lot, size = [], 0
+
+    def chunk():
+        owner = np.repeat(np.arange(len(lot), dtype=np.int32), [r["n"] for r in lot])
+        grade = np.array([r["grade"] for r in lot], np.int64)
+        return grade, owner, np.frombuffer(b"".join(r["buckets"] for r in lot), "<i4"), np.frombuffer(b"".join(r["vals"] for r in lot), "<f4")
+
+    for r in rows:
+        lot.append(r)
+        size += r["n"]
+        if size >= CHUNK_VALUES:
+            yield chunk()
+            lot, size = [], 0
+    if lot:
+        yield chunk()
 
 
 def fit(docs: DataFrame, ratings: DataFrame, max_rated: int = MAX_RATED) -> OrdinalModel:
     """Fit on rated documents (doc_id, grade 0, 1, ...), at most `max_rated` of them, chosen by a hash of doc_id.
 
     Ratings or documents with a null doc_id and null grades are left out; of several ratings of a document the lowest counts.
-    Without ratings of two grades the model has no threshold and keeps everything.
+    Without ratings of two grades the model has no threshold and keeps everything. The features of the sample are written to
+    the shared folder and come to the driver in ranges of doc_id, one at a time.
     """
     rated = ratings.select(ratings["doc_id"].cast("long").alias("doc_id"), ratings["grade"].cast("int").alias("grade"))
     rated = rated.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
     sample = F.broadcast(rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rated))  # at most max_rated rows
-    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).join(sample, "doc_id").select("text", "grade")
-    schema = pa.schema([("grade", pa.int32()), ("n", pa.int64()), ("buckets", pa.binary()), ("vals", pa.binary())])
+    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).join(sample, "doc_id").select("doc_id", "grade", "text")
+    schema = pa.schema([("doc_id", pa.int64()), ("grade", pa.int32()), ("n", pa.int64()), ("buckets", pa.binary()), ("vals", pa.binary())])
 
     def run(batches):
         for b in batches:
-            data, off = column_bytes(b.column(0))
+            data, off = column_bytes(b.column(2))
             for s, e, d, o in blocks(data, off):
                 owner, bucket, value = features(d, o)
                 at = np.searchsorted(owner, np.arange(e - s + 1))
-                cols = [b.column(1)[s:e], pa.array(np.diff(at))]
+                cols = [b.column(0)[s:e], b.column(1)[s:e], pa.array(np.diff(at))]
                 cols += [pa.array([x[i:j].tobytes() for i, j in zip(at, at[1:])], pa.binary()) for x in (bucket.astype("<i4"), value.astype("<f4"))]
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
-    rows = chosen.mapInArrow(run, "grade int, n long, buckets binary, vals binary").collect()
-    rows.sort(key=lambda r: (r["grade"], r["n"], r["buckets"], r["vals"]))
-    grade = np.array([r["grade"] for r in rows], np.int64)
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [r["n"] for r in rows])
-    bucket = np.frombuffer(b"".join(r["buckets"] for r in rows), "<i4")
-    value = np.frombuffer(b"".join(r["vals"] for r in rows), "<f4")
-    del rows
-    model = fit_rows(owner, bucket, value, grade)
-    del owner, bucket, value
+    rows = written(chosen.mapInArrow(run, "doc_id long, grade int, n long, buckets binary, vals binary"), "rated")
+    rows = rows.repartitionByRange(SAMPLE_RANGES, "doc_id").sortWithinPartitions("doc_id", "grade", "n", "buckets", "vals")
+    model = fit_chunks(lambda: _chunked(rows.toLocalIterator()))
     release_memory()
     return model
 
