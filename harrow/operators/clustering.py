@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.functions.dtw import blocks, cost_tables, dtw_to, padded
@@ -132,3 +132,16 @@ def kmeans_dtw(
         if shift <= tol:
             break
     return assign(fixed, centres, key), centres
+
+
+def save_centres(spark: SparkSession, centres: list[list[float]], root: str, name: str) -> str:
+    """Cluster centres under `root`/`name`, one row per centre; the folder must be shared."""
+    path = f"{root.rstrip('/')}/{name}"
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centres)]
+    spark.createDataFrame(rows, "cluster int, centre array<double>").write.mode("overwrite").parquet(path)
+    return path
+
+
+def load_centres(spark: SparkSession, root: str, name: str) -> list[list[float]]:
+    """The stored centres, for `assign`."""
+    return [r["centre"] for r in spark.read.parquet(f"{root.rstrip('/')}/{name}").orderBy("cluster").collect()]

@@ -158,13 +158,16 @@ def model_mismatch(pins: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def env_census(pins: DataFrame, by: list[str] = ("model",)) -> DataFrame:
-    """Per model family: distinct environments, runs, and the most common pin (ties: lowest text)."""
+    """Per model family: distinct environments, runs, and the most common pin (ties: lowest text).
+
+    An unpinned package counts as a pin of its bare name.
+    """
     by = list(by)
-    as_kv = pins.select(*by, "run", F.col("package").alias("key"), F.concat("op", "version").alias("value"))
+    as_kv = pins.select(*by, "run", F.col("package").alias("key"), F.concat_ws("", "op", "version").alias("value"))
     envs = param_fingerprint(as_kv, [*by, "run"]).groupBy(*by).agg(
         F.count_distinct("fp").alias("environments"), F.count(F.lit(1)).alias("runs")
     )
-    pin = F.concat("package", "op", "version")
+    pin = F.concat_ws("", "package", "op", "version")
     used = pins.select(*by, pin.alias("pin"), "run").groupBy(*by, "pin").agg(F.count_distinct("run").alias("n"))
     common = used.groupBy(*by).agg(F.min_by(F.struct("pin", "n"), F.struct(-F.col("n"), F.col("pin"))).alias("_c"))
     return join_groups(envs, common, by).select(

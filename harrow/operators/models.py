@@ -289,17 +289,25 @@ def class_scores(df: DataFrame, model: FittedModel, member: str, key: str) -> Da
     return rows.select("sample", F.lit(member).alias("member"), "cls", "score")
 
 
-def save_model(model: FittedModel, root: str, name: str) -> str:
-    """Model and feature map under `root`/`name`; the folder must be shared."""
+def save_model(model: FittedModel | FittedVote, root: str, name: str) -> str:
+    """Model and feature map under `root`/`name`; the folder must be shared. An ensemble keeps each member below its own."""
     path = f"{root.rstrip('/')}/{name}"
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    if isinstance(model, FittedVote):
+        for member, fitted in model.members.items():
+            save_model(fitted, f"{path}/members", member)
+        spec = {"kind": "vote", "members": list(model.members), "how": model.how, "weights": model.weights}
+    else:
+        model.pipeline.write().overwrite().save(f"{path}/pipeline")
+        spec = {"kind": model.kind, "spec": model.spec}
     spark = SparkSession.getActiveSession()
-    spec = json.dumps({"kind": model.kind, "spec": model.spec}, sort_keys=True)
-    spark.createDataFrame([(spec,)], "value string").write.mode("overwrite").text(f"{path}/spec")
+    spark.createDataFrame([(json.dumps(spec, sort_keys=True),)], "value string").write.mode("overwrite").text(f"{path}/spec")
     return path
 
 
-def load_model(spark: SparkSession, root: str, name: str) -> FittedModel:
+def load_model(spark: SparkSession, root: str, name: str) -> FittedModel | FittedVote:
     path = f"{root.rstrip('/')}/{name}"
     spec = json.loads(spark.read.text(f"{path}/spec").first()["value"])
+    if spec["kind"] == "vote":
+        members = {m: load_model(spark, f"{path}/members", m) for m in spec["members"]}
+        return FittedVote(members, spec["how"], spec["weights"])
     return FittedModel(spec["kind"], PipelineModel.load(f"{path}/pipeline"), spec["spec"])

@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 
 from harrow.functions.values import unit_hash
 from harrow.operators.folds import ROWS_PER_TASK, Rule, cross_validate, training_size
+from harrow.sources.runtree import write_runs
 
 # A dimension: ("uniform", lo, hi), ("loguniform", lo, hi), ("int", lo, hi) or ("choice", [values]).
 Space = dict[str, tuple]
 
+#: Tag that names a run's parent.
+PARENT_TAG = "mlflow.parentRunId"
+
 TRIAL_SCHEMA = "trial long, params string, ts long, accuracy double, f1 double, kappa double, folds long, seconds double"
 
 
@@ -67,28 +71,84 @@ def run_search(
     trial pass through the driver. Small partitions are joined first, so small tables train in few
     tasks and many trials at once.
     """
-    spark = df.sparkSession
-    configs = [r.asDict() for r in search(spark, space, n, seed).orderBy("trial").collect()]
+    rows = []
+    for config, folds, done, seconds in _evaluated(df, space, n, k, fit, seed, cls, parallelism, rows_per_task):
+        mean = lambda c: float(sum(r[c] for r in folds) / len(folds))
+        rows.append((config["trial"], _text(config), int(done * 1000), mean("accuracy"), mean("f1"), mean("kappa"), len(folds), seconds))
+    return df.sparkSession.createDataFrame(rows, TRIAL_SCHEMA)
+
+
+def _text(config: dict) -> str:
+    return json.dumps({name: v for name, v in config.items() if name != "trial"}, sort_keys=True)
+
+
+def _evaluated(df, space, n, k, fit, seed, cls, parallelism, rows_per_task, train_scores=False) -> list[tuple]:
+    """(configuration, its score rows, end in epoch seconds, seconds) per trial, in order of trial."""
+    configs = [r.asDict() for r in search(df.sparkSession, space, n, seed).orderBy("trial").collect()]
     data = training_size(df, rows_per_task).persist(StorageLevel.MEMORY_AND_DISK)
     folds_at_once = max(1, math.ceil(parallelism / n))
     try:
 
         def one(config: dict) -> tuple:
             started = time.time()
-            params = {k_: v for k_, v in config.items() if k_ != "trial"}
-            rows = cross_validate(data, lambda train: fit(train, params), k, cls, parallelism=folds_at_once).collect()
-            mean = lambda c: sum(r[c] for r in rows) / len(rows)
+            params = {name: v for name, v in config.items() if name != "trial"}
+            folds = cross_validate(data, lambda train: fit(train, params), k, cls, train_scores, folds_at_once).collect()
             done = time.time()
-            return (
-                config["trial"], json.dumps(params, sort_keys=True), int(done * 1000),
-                float(mean("accuracy")), float(mean("f1")), float(mean("kappa")), len(rows), done - started,
-            )
+            return config, folds, done, done - started
 
         with ThreadPoolExecutor(max_workers=min(parallelism, n)) as pool:
-            results = list(pool.map(one, configs))
+            return list(pool.map(one, configs))
     finally:
         data.unpersist()
-    return spark.createDataFrame(results, TRIAL_SCHEMA)
+
+
+METRIC_SCHEMA = "experiment_id string, run string, key string, ts long, value double, step long"
+PARAM_SCHEMA = "experiment_id string, run string, key string, value string"
+
+
+def log_search(
+    df: DataFrame,
+    space: Space,
+    n: int,
+    k: int,
+    fit: Callable[[DataFrame, dict], Rule],
+    root: str,
+    experiment: str,
+    seed: int = 0,
+    cls: int = 0,
+    objective: str = "f1",
+    parallelism: int = 8,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> None:
+    """Evaluate as `run_search` does, with training scores, and append the run log below `root`.
+
+    `metrics`: every score of every fold and its means per trial, and the best mean objective under the parent run.
+    `params`: each trial's configuration, and the best one under the parent. `tags`: each trial's parent. Trials are the runs
+    '<experiment>-<trial>', their parent is '<experiment>-search'. A NaN or null mean is never the best; ties go to the lowest
+    trial. 6 (k + 1) numbers per trial pass through the driver.
+    """
+    parent = f"{experiment}-search"
+    metrics, params, tags, best = [], [], [], None
+    names = {"accuracy": "accuracy", "f1": f"F1 score of class {cls}", "kappa": "kappa"}
+    for config, folds, done, _ in _evaluated(df, space, n, k, fit, seed, cls, parallelism, rows_per_task, True):
+        run, ts = f"{experiment}-{config['trial']}", int(done * 1000)
+        for split, side in (("train", "Training"), ("val", "Validation")):
+            rows = [r for r in folds if r["split"] == split]
+            for metric, name in names.items():
+                metrics += [(experiment, run, f"{side} {name} in fold {r['fold']}", ts, r[metric], 0) for r in rows]
+                values = [r[metric] for r in rows]
+                mean = None if not values or None in values else sum(values) / len(values)
+                metrics.append((experiment, run, f"{split}_{metric}_mean", ts, mean, 0))
+                if split == "val" and metric == objective and mean is not None and not math.isnan(mean) and (best is None or mean > best[0]):
+                    best = mean, config, ts
+        params += [(experiment, run, name, str(v)) for name, v in config.items() if name != "trial"]
+        tags.append((experiment, run, PARENT_TAG, parent))
+    if best is not None:
+        metrics.append((experiment, parent, f"best_val_{objective}", best[2], best[0], 0))
+        params += [(experiment, parent, name, str(v)) for name, v in best[1].items() if name != "trial"]
+    spark = df.sparkSession
+    for kind, rows, schema in (("metrics", metrics, METRIC_SCHEMA), ("params", params, PARAM_SCHEMA), ("tags", tags, PARAM_SCHEMA)):
+        write_runs(spark.createDataFrame(rows, schema), f"{root}/{kind}")
 
 
 def best_config(trials: DataFrame, objective: str = "f1") -> dict:

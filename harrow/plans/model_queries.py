@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from harrow.operators import folds as K
 from harrow.operators import models as L
+from harrow.operators import runs as R
 from harrow.operators import search as H
 from harrow.operators.metrics import vote
 from harrow.plans import fixtures as X
 from harrow.plans.registry import query, rounded
 from harrow.session import scratch_path, written
+from harrow.sources import runtree as T
 
 
 def _predicted(df, model):
@@ -98,6 +100,37 @@ def run_search(spark, sf):
     return rounded(trials.select("trial", "params", "accuracy", "f1", "kappa", "folds"))
 
 
+_SEARCH_DRAW = "(('0x' || substr(md5('11|by|' || CAST(trial AS VARCHAR)), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE"
+
+
+@query(
+    "M7 S11",
+    f""", t AS (SELECT trial, list_extract(['l_linestatus', 'l_linenumber', 'l_both'], CAST(floor({_SEARCH_DRAW} * 3) AS BIGINT) + 1) AS grouping_name FROM range(0, 4) r(trial)),
+      v AS (SELECT trial, fold, label, CASE grouping_name WHEN 'l_linestatus' THEN l_linestatus WHEN 'l_linenumber' THEN CAST(l_linenumber AS VARCHAR)
+          ELSE l_linestatus || CAST(l_linenumber AS VARCHAR) END AS g FROM v_pred, t),
+      c AS (SELECT trial, f, g, label, count(*) AS n FROM v, range(1, 6) x(f) WHERE fold <> f GROUP BY ALL),
+      rule AS (SELECT trial, f, g, label AS pred FROM c QUALIFY row_number() OVER (PARTITION BY trial, f, g ORDER BY n DESC, label) = 1),
+      p AS (SELECT trial, f, CASE WHEN f = fold THEN 'val' ELSE 'train' END AS split, label, pred FROM v JOIN rule USING (trial, g)),
+      h AS (SELECT trial, f, split, avg(CAST(label = pred AS INTEGER)) AS accuracy, count(*)::DOUBLE AS n,
+          coalesce(2.0 * count(*) FILTER (label = 0 AND pred = 0) / nullif(count(*) FILTER (label = 0) + count(*) FILTER (pred = 0), 0), 0) AS f1,
+          sum(CAST(label = 0 AS INTEGER)) * sum(CAST(pred = 0 AS INTEGER))::DOUBLE + sum(CAST(label = 1 AS INTEGER)) * sum(CAST(pred = 1 AS INTEGER))
+            + sum(CAST(label = 2 AS INTEGER)) * sum(CAST(pred = 2 AS INTEGER)) AS s FROM p GROUP BY ALL),
+      k AS (SELECT trial, f, split, unnest(['accuracy', 'f1', 'kappa']) AS metric, unnest([accuracy, f1, (accuracy - s / (n * n)) / (1 - s / (n * n))]) AS value FROM h),
+      m AS (SELECT trial, split, metric, avg(value) AS value FROM k GROUP BY ALL)
+    SELECT 'rules-' || CAST(trial AS VARCHAR) AS run, split, metric, CAST(f AS INTEGER) AS fold, CAST(NULL AS VARCHAR) AS summary, round(value, 9) AS value FROM k
+    UNION ALL SELECT 'rules-' || CAST(trial AS VARCHAR), split, metric, NULL, 'mean', round(value, 9) FROM m
+    UNION ALL SELECT 'rules-search', 'val', 'kappa', NULL, 'best', round(max(value), 9) FROM m WHERE split = 'val' AND metric = 'kappa'""",
+    ("v_pred",),
+)
+def search_log(spark, sf):
+    """Search over the grouping of a majority rule; the run log it writes, read back with its keys decoded."""
+    df = X.v_pred(spark, sf).drop("pred", "score")
+    groups = {"l_linestatus": ["l_linestatus"], "l_linenumber": ["l_linenumber"], "l_both": ["l_linestatus", "l_linenumber"]}
+    root = scratch_path(spark, "search")
+    H.log_search(df, {"by": ("choice", list(groups))}, 4, 5, lambda train, p: K.majority_rule(groups[p["by"]])(train), root, "rules", 11, objective="kappa")
+    return rounded(R.decode_keys(T.read_runs(spark, f"{root}/metrics", "rules")).select("run", "split", "metric", "fold", "summary", "value"), 9)
+
+
 @query("M8")
 def cross_validate_rf(spark, sf):
     df = written(K.stratified_folds(_four_classes(spark, sf), "label", 5, ["vec_id"]), "folds")

@@ -1,13 +1,18 @@
 """Estimators: better than guessing on separable data, same result under the same seed, save and load."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from harrow.functions.values import unit_hash
+from harrow.operators import clustering as C
 from harrow.operators import folds as K
 from harrow.operators import models as L
+from harrow.operators import runs as R
 from harrow.operators import search as H
 from harrow.session import scratch_path
+from harrow.sources import runtree as T
 
 
 @pytest.fixture(scope="module")
@@ -77,6 +82,35 @@ def test_save_and_load_keeps_the_feature_map(spark, blobs):
     assert named.select("model", "model_fp").distinct().collect() == [("svc", "fp")]
 
 
+def test_save_and_load_an_ensemble(spark, blobs):
+    vote = L.fit_vote(blobs, {"svc": {"kernel": "linear", "max_iter": 5}, "rf": {"n_estimators": 3, "max_depth": 3}}, "hard", {"rf": 2.0})
+    root = scratch_path(spark, "models")
+    L.save_model(vote, root, "both")
+    loaded = L.load_model(spark, root, "both")
+    assert list(loaded.members) == ["svc", "rf"] and loaded.how == "hard" and loaded.weights == {"rf": 2.0}
+    assert {r["id"]: r["pred"] for r in loaded(blobs).collect()} == {r["id"]: r["pred"] for r in vote(blobs).collect()}
+
+
+def test_save_and_load_centres(spark):
+    root, centres = scratch_path(spark, "models"), [[0.0, 1.5], [2.0, 3.0, 4.0]]
+    C.save_centres(spark, centres, root, "k")
+    assert C.load_centres(spark, root, "k") == centres
+
+
+def test_search_log_agrees_with_the_trials(spark, blobs):
+    space, root = {"n_estimators": ("int", 2, 4)}, scratch_path(spark, "log")
+    H.log_search(blobs, space, 2, 3, L.fit_rf, root, "e", seed=5)
+    trials = {f"e-{r['trial']}": r for r in H.run_search(blobs, space, 2, 3, L.fit_rf, seed=5).collect()}
+    means = R.fold_mean(R.decode_keys(T.read_runs(spark, f"{root}/metrics", "e")).where("fold is not null")).collect()
+    assert len(means) == 12 and all(m["folds"] == 3 for m in means)
+    for m in means:
+        if m["split"] == "val":
+            assert m["mean"] == pytest.approx(trials[m["run"]][m["metric"]])
+    logged = {(r["run"], r["key"]): r["value"] for r in T.read_runs(spark, f"{root}/params").collect()}
+    assert logged["e-0", "n_estimators"] == str(json.loads(trials["e-0"]["params"])["n_estimators"]) and ("e-search", "n_estimators") in logged
+    assert {(r["run"], r["value"]) for r in T.read_runs(spark, f"{root}/tags").collect()} == {("e-0", "e-search"), ("e-1", "e-search")}
+
+
 def test_training_scores(blobs):
     s = K.cross_validate(blobs, lambda t: L.fit_rf(t, {"n_estimators": 3, "max_depth": 3}), 3, train_scores=True)
     assert sorted((r["split"], r["fold"]) for r in s.collect()) == [("train", 1), ("train", 2), ("train", 3), ("val", 1), ("val", 2), ("val", 3)]
