@@ -35,7 +35,7 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_training_order(spark: SparkSession, sf: str) -> DataFrame:
-    return training_order.in_training_order(table(spark, sf, "documents"), public_tokenizer(WORD_BPE))
+    return training_order.shard_index(table(spark, sf, "documents"), public_tokenizer(WORD_BPE))
 
 
 def op6_jaccard_components(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Training-order materialisation: every sequence gets a global slot, shards hold fixed-stride records.
 
 Sequences are numbered 0 .. n-1 in the order of the written sequence table; a keyed Feistel permutation of the smallest
-even-bit domain, walked until it falls below n, sends each number to its slot. Shards are ranges of slots, so record i of
-shard s starts at byte i * stride and a reader can resume anywhere.
+even-bit domain, walked until it falls below n, sends each number to its slot. Shards are ranges of slots, written as one
+file each, so record i of shard s starts at byte i * stride and a reader can resume anywhere.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from harrow.llm.common import batch, doc_texts, written
 from harrow.llm.encoders import WordEncoder, worker_copy
 from harrow.llm.text import blocks, column_bytes, mixed
+from harrow.session import scratch_path
 
 PAD = 49407  # end-of-text of the word vocabulary: closes a document and fills its last record
 ROUNDS = 4
@@ -26,6 +27,11 @@ _SEQ = pa.schema(
 )
 
 
+def stride_of(length: int) -> int:
+    """Bytes of a written record of `length` ids: the ids and a line feed."""
+    return 2 * length + 1
+
+
 def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
     """A keyed permutation of 0 .. n-1, applied to `index`."""
     half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
@@ -71,9 +77,9 @@ def sequences(docs: DataFrame, path: str, length: int = 512) -> DataFrame:
 
 
 def in_training_order(docs: DataFrame, path: str, length: int = 512, records_a_shard: int = 8192, key: int = 2024) -> DataFrame:
-    """(slot, shard, byte_offset, doc_id, piece, n_tokens, tokens), range-partitioned and sorted by slot.
+    """(slot, shard, byte_offset, doc_id, piece, n_tokens, tokens), one partition per shard, sorted by slot.
 
-    A null or empty text is one record that holds only PAD. The numbering follows the sequence table as written, so a lost executor
+    byte_offset is the record's place in the shard's file as `write_shards` makes it. A null or empty text is one record that holds only PAD. The numbering follows the sequence table as written, so a lost executor
     re-reads the same numbers; another run over the same files gives the same order.
     """
     spark = docs.sparkSession
@@ -87,35 +93,45 @@ def in_training_order(docs: DataFrame, path: str, length: int = 512, records_a_s
     def slot_of(part: pd.Series, n: pd.Series) -> pd.Series:
         return pd.Series(feistel(part.map(starts).to_numpy(np.int64) + n.to_numpy(np.int64), total, key))
 
-    stride = 2 * length
     shards = max(1, -(-total // records_a_shard))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
-    placed = seq.withColumn("slot", slot_of("part", "n"))
+    placed = seq.withColumn("slot", slot_of("part", "n")).withColumn("shard", F.expr(f"slot div {records_a_shard}"))
     return (
-        placed.repartitionByRange(parts, "slot")
+        placed.repartitionById(shards, F.col("shard").cast("int"))
         .sortWithinPartitions("slot")
         .select(
             "slot",
-            F.expr(f"slot div {records_a_shard}").alias("shard"),
-            (F.col("slot") % records_a_shard * stride).alias("byte_offset"),
+            "shard",
+            (F.col("slot") % records_a_shard * stride_of(length)).alias("byte_offset"),
             "doc_id", "piece", "n_tokens", "tokens",
         )
     )
 
 
 def write_shards(ordered: DataFrame, path: str) -> None:
-    """Shard files under path/shard=<n>/: raw records one after the other, each closed by a line feed (stride 2 * length + 1).
+    """One file per shard under path/shard=<n>/: raw records one after the other, each closed by a line feed (`stride_of`).
 
-    Spark's own text writer puts the bytes into any file system it can reach.
+    `ordered` is that of `in_training_order`: its partitions are the shards. Spark's own text writer puts the bytes into any
+    file system it can reach.
     """
     rows = ordered.select("shard", "slot", F.col("tokens").cast("string").alias("value"))
-    one = rows.repartitionByRange("shard").sortWithinPartitions("shard", "slot").drop("slot")
-    one.write.partitionBy("shard").option("lineSep", "\n").text(path)
+    one = rows.sortWithinPartitions("shard", "slot").drop("slot")
+    one.write.partitionBy("shard").option("lineSep", "\n").option("maxRecordsPerFile", 0).text(path)
+
+
+def shard_index(docs: DataFrame, path: str, length: int = 512, records_a_shard: int = 8192, key: int = 2024) -> DataFrame:
+    """Writes the shards to the shared folder; (slot, shard, byte_offset, doc_id, piece, n_tokens, folder) says where each record is.
+
+    The ids of a record are the 2 * length bytes from byte_offset on in the one file of `folder`.
+    """
+    ordered = in_training_order(docs, path, length, records_a_shard, key)
+    out = scratch_path(docs.sparkSession, "shards")
+    write_shards(ordered, out)
+    return ordered.drop("tokens").withColumn("folder", F.concat(F.lit(f"{out}/shard="), F.col("shard").cast("string")))
 
 
 def read_records(spark: SparkSession, path: str, shard: int, first: int, count: int, length: int = 512) -> list[np.ndarray]:
     """Records first .. first + count - 1 of a shard, by position alone."""
-    stride = 2 * length + 1
+    stride = stride_of(length)
     files = spark.read.format("binaryFile").load(f"{path}/shard={shard}")
     part = files.select(F.expr(f"substring(content, {first * stride + 1}, {count * stride})").alias("c"), "path").orderBy("path").first()["c"]
     return [np.frombuffer(bytes(part[i : i + stride - 1]), "<u2") for i in range(0, len(part), stride)]

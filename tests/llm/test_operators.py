@@ -5,12 +5,13 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from harrow.llm import bpe, jaccard, merkle, nra, ordinal, packing, suffixes, training_order, transcripts, wordpiece
+from harrow.llm import bpe, jaccard, merkle, nra, ordinal, packing, queries, suffixes, training_order, transcripts, wordpiece
 from harrow.llm.common import components, public_tokenizer
 
 BYTE, WORD = public_tokenizer("byte_bpe_50k.json"), public_tokenizer("word_bpe_49k.json")
@@ -132,6 +133,25 @@ def test_training_order(spark, tmp_path):
     assert [x.tobytes() for x in read] == [bytes(r["tokens"]) for r in got[10:13]]
 
 
+def test_shard_index_points_into_the_written_files(spark, sf):
+    docs = _docs(spark, _rows(6))
+    tokens = {r["slot"]: bytes(r["tokens"]) for r in training_order.in_training_order(docs, WORD, 16, 8).collect()}
+    index = training_order.shard_index(docs, WORD, 16, 8)
+    got = index.withColumn("task", F.spark_partition_id()).collect()
+    assert [r["slot"] for r in got] == sorted(tokens) and all(r["shard"] == r["slot"] // 8 for r in got)
+    files = {}
+    for r in got:
+        if r["folder"] not in files:
+            (file,) = Path(r["folder"].removeprefix("file:")).glob("part-*")  # one file per shard
+            files[r["folder"]] = file.read_bytes()
+        assert files[r["folder"]][r["byte_offset"] : r["byte_offset"] + 32] == tokens[r["slot"]]
+    assert sum(map(len, files.values())) == 33 * len(tokens) and len(files) == -(-len(tokens) // 8)
+    assert len({(r["task"], r["shard"]) for r in got}) == len({r["task"] for r in got}) == len(files)
+    row = queries.op5_training_order(spark, sf).orderBy(F.col("slot").desc()).first()
+    (file,) = Path(row["folder"].removeprefix("file:")).glob("part-*")
+    assert file.stat().st_size == row["byte_offset"] + 1025
+
+
 def test_suffix_dedup(spark):
     rng = random.Random(5)
     base = ["".join(rng.choice("abé\n ") for _ in range(300)) for _ in range(4)]
