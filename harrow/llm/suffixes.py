@@ -8,7 +8,9 @@ anchor cover together.
 2. Anchors that occur in one document only cannot start a match: a counting pass over 32-bit remainders per bucket marks the others.
 3. The runs at shared anchors go to their anchor's bucket. There, new documents arrive in batches in order of doc_id; equal runs
    are matched whole, and the windows of what is left form the batch's suffix array, which is merge-scanned against
-   the levels and then joins them: equal-sized levels merge, so there are logarithmically many.
+   the levels and then joins them: equal-sized levels merge, so there are logarithmically many. Anchors with very many different
+   runs (a common line before changing text) are not one task's: their runs are split into single windows, each segment sends its
+   distinct ones with their smallest doc_id, and they are dealt by their own codes (equal windows have equal codes).
 4. Each segment gets back, per distinct run, which windows occur in an earlier document, and cuts its texts.
 """
 
@@ -37,6 +39,8 @@ SEGMENT_BYTES = 1 << 20
 BUCKET_BYTES = 16 << 20  # text per bucket, on average
 HEADS_AT_ONCE = 100_000
 BATCH_HEADS = 8192
+HOT_KINDS = 20_000  # different runs of one anchor, counted per segment, beyond which its windows are dealt singly
+WINDOWS_A_PART = 250_000  # single windows per task, on average
 NO_ID = -(2**63)
 
 _PLACE = np.uint64((1 << 28) - 1)
@@ -182,14 +186,27 @@ def _short(code: np.ndarray, bits: int) -> np.ndarray:
 # Which anchors several documents share
 
 
+def _contents(data: np.ndarray, off: np.ndarray, runs: tuple[np.ndarray, ...], length: int) -> np.ndarray:
+    """Code of each run's bytes and the anchor's place in them; the runs' texts ascend."""
+    a, b, at, text, code = runs
+    content = np.empty(len(a), np.uint64)
+    for s, e, d, o in blocks(data, off, 1 << 18):
+        x, y = np.searchsorted(text, [s, e])
+        content[x:y] = word_codes(d, a[x:y] - off[s], b[x:y] + length - off[s], lower=False)
+    return mixed(content + (at - a).astype(np.uint64)) ^ code
+
+
 def _anchor_lists(length: int, bits: int):
-    schema = pa.schema([("bucket", pa.int32()), ("seg", pa.int64()), ("vals", pa.binary()), ("several", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("seg", pa.int64()), ("vals", pa.binary()), ("several", pa.binary()), ("more", pa.binary())])
 
     def run(batches):
         for r in _rows(batches):
             _, data, off = _opened(r["ids"], r["lens"], r["data"])
-            _, _, _, text, code = anchors_of(data, off, length)
-            key = _short(code, bits)
+            found = anchors_of(data, off, length)
+            text, key = found[3], _short(found[4], bits)
+            # Keys with several different runs, and how many more than one.
+            order = np.lexsort((content := _contents(data, off, found, length), key))
+            more_of = key[order][1:][(key[order][1:] == key[order][:-1]) & (content[order][1:] != content[order][:-1])]
             order = np.argsort(key, kind="stable")  # texts ascend among equal keys
             key, text = key[order], text[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
@@ -197,72 +214,91 @@ def _anchor_lists(length: int, bits: int):
             several = text[first] != text[last]
             key = key[first]
             edges = np.searchsorted(key, np.arange(2**bits + 1, dtype=np.uint64) << np.uint64(32))
-            rows: list[list] = [[], [], [], []]
+            more = np.bincount(np.searchsorted(key, more_of), minlength=len(key))
+            rows: list[list] = [[], [], [], [], []]
             for b in np.flatnonzero(np.diff(edges)):
                 s, e = edges[b], edges[b + 1]
-                for c, v in zip(rows, (int(b), r["seg"], key[s:e].astype("<u4").tobytes(), np.packbits(several[s:e]).tobytes())):
+                some = np.flatnonzero(more[s:e])
+                kinds = np.concatenate([some, more[s:e][some]]).astype("<u4").tobytes()
+                for c, v in zip(rows, (int(b), r["seg"], key[s:e].astype("<u4").tobytes(), np.packbits(several[s:e]).tobytes(), kinds)):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
 
     return run
 
 
-def _shared_marks(df: pd.DataFrame) -> pd.DataFrame:
-    """Of each segment's values in this bucket, which ones occur in another document."""
-    lists = [np.frombuffer(v, "<u4") for v in df["vals"]]
-    flags = [np.unpackbits(np.frombuffer(s, np.uint8), count=len(v)) for s, v in zip(df["several"], lists)]
-    values, again, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-    shared = count > 1
-    shared[again[np.concatenate(flags) > 0]] = True
-    marks, at = [], 0
-    for v in lists:
-        marks.append(np.packbits(shared[again[at : at + len(v)]]).tobytes())
-        at += len(v)
-    return pd.DataFrame({"seg": df["seg"], "bucket": df["bucket"], "marks": marks})
+def _shared_marks(length: int, hot_kinds: int):
+    def run(df: pd.DataFrame) -> pd.DataFrame:
+        """Of each segment's values in this bucket, which ones occur in another document (bits), then the places of those with
+        more than `hot_kinds` different runs; `singles` is about the number of windows these have in the segment."""
+        lists = [np.frombuffer(v, "<u4") for v in df["vals"]]
+        flags = [np.unpackbits(np.frombuffer(s, np.uint8), count=len(v)) for s, v in zip(df["several"], lists)]
+        kinds = []
+        for v, m in zip(lists, df["more"]):
+            place, more = np.frombuffer(m, "<u4").reshape(2, -1)
+            kinds.append(np.ones(len(v), np.int64))
+            kinds[-1][place] += more
+        values, again, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        shared = count > 1
+        shared[again[np.concatenate(flags) > 0]] = True
+        hot = shared & (np.bincount(again, np.concatenate(kinds), len(values)) > hot_kinds)
+        marks, singles, at = [], [], 0
+        for v, k in zip(lists, kinds):
+            here = again[at : at + len(v)]
+            marks.append(np.packbits(shared[here]).tobytes() + np.flatnonzero(hot[here]).astype("<u4").tobytes())
+            singles.append(int(k[hot[here]].sum()) * (length - min(ANCHOR, length) + 1))
+            at += len(v)
+        return pd.DataFrame({"seg": df["seg"], "bucket": df["bucket"], "marks": marks, "singles": singles})
+
+    return run
 
 
 # Runs at shared anchors
 
 
 def _classes(r: dict, length: int, bits: int):
-    """The shared runs of a segment and their distinct contents; the same each time it is called.
+    """The shared runs of a segment and their distinct contents; the same each time it is called. Runs at hot anchors come as single windows.
 
-    Gives (ids, data, offsets, runs, class of each run, run that stands for each class: that of the smallest doc_id).
+    Gives (ids, data, offsets, runs, class of each run, run that stands for each class: that of the smallest doc_id, codes of
+    the contents, which runs are at hot anchors).
     """
     ids, data, off = _opened(r["ids"], r["lens"], r["data"])
     a, b, at, text, code = anchors_of(data, off, length)
     key, again = np.unique(_short(code, bits), return_inverse=True)
     edges = np.searchsorted(key, np.arange(2**bits + 1, dtype=np.uint64) << np.uint64(32))
-    shared = np.zeros(len(key), bool)
+    shared, hot = np.zeros(len(key), bool), np.zeros(len(key), bool)
     for m in r["marks"] or []:
         s, e = edges[m["bucket"]], edges[m["bucket"] + 1]
         shared[s:e] = np.unpackbits(np.frombuffer(m["marks"], np.uint8), count=e - s)
+        hot[s + np.frombuffer(m["marks"], "<u4", offset=(int(e - s) + 7) // 8).astype(np.int64)] = True
     pick = np.flatnonzero(shared[again]) if len(again) else np.empty(0, np.int64)
-    a, b, at, text, code = a[pick], b[pick], at[pick], text[pick], code[pick]
-    content = np.empty(len(a), np.uint64)
-    for s, e, d, o in blocks(data, off, 1 << 18):
-        x, y = np.searchsorted(text, [s, e])
-        content[x:y] = word_codes(d, a[x:y] - off[s], b[x:y] + length - off[s], lower=False)
-    content = mixed(content + (at - a).astype(np.uint64)) ^ code
+    single = hot[again[pick]] if len(again) else np.empty(0, bool)
+    n = np.where(single, b[pick] - a[pick] + 1, 1)
+    j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    pick, single = np.repeat(pick, n), np.repeat(single, n)
+    a, b, at, text, code = a[pick] + j, np.where(single, a[pick] + j, b[pick]), at[pick], text[pick], code[pick]
+    content = _contents(data, off, (a, b, at, text, code), length)
     order = np.lexsort((a, ids[text], content))
     new = np.ones(len(order), bool)
     new[1:] = content[order][1:] != content[order][:-1]
     cls = np.empty(len(order), np.int64)
     cls[order] = np.cumsum(new) - 1
-    return ids, data, off, (a, b, at, text, code), cls, order[new]
+    return ids, data, off, (a, b, at, text, code), cls, order[new], content, single
 
 
-def _entries(length: int, bits: int):
+def _entries(length: int, bits: int, parts: int):
+    """Buckets below 2**bits are those of anchors, the `parts` after them hold single windows of hot anchors."""
     schema = pa.schema([("bucket", pa.int32()), ("seg", pa.int64()), ("n", pa.int32()), ("blob", pa.binary())])
 
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for r in _rows(batches):
-            ids, data, _, (a, b, at, text, code), _, rep = _classes(r, length, bits)
+            ids, data, _, (a, b, at, text, code), _, rep, content, single = _classes(r, length, bits)
             bucket = (code[rep] >> np.uint64(64 - bits)).astype(np.int64)
+            bucket[single[rep]] = 2**bits + (content[rep][single[rep]] % np.uint64(parts)).astype(np.int64)
             rows: list[list] = [[], [], [], []]
             order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(2**bits + 1))
+            edges = np.searchsorted(bucket[order], np.arange(2**bits + parts + 1))
             for k in np.flatnonzero(np.diff(edges)):
                 c = order[edges[k] : edges[k + 1]]
                 x = rep[c]
@@ -302,10 +338,12 @@ def _verdicts(length: int):
         smallest = np.empty(len(order), np.int64)
         smallest[order] = doc[order][new][np.cumsum(new) - 1]
         bits = np.where(doc > smallest, (np.int64(1) << (size - length + 1)) - 1, 0)
-        # One run of each kind is left; where an anchor has several kinds, their windows are compared.
+        # One run of each kind is left; where an anchor has several kinds, their windows are compared. Runs of one window each
+        # (all those of hot anchors) are told apart already.
         rest = order[new]
         _, again, count = np.unique(head[rest], return_inverse=True, return_counts=True)
-        some = np.flatnonzero(count[again] > 1)
+        longer = np.bincount(again, size[rest] > length, len(count))
+        some = np.flatnonzero((count[again] > 1) & (longer[again] > 0))
         some = some[np.argsort(again[some], kind="stable")]
         rest, again = rest[some], again[some]
         windows = size[rest] - length + 1
@@ -338,7 +376,7 @@ def _verdicts(length: int):
 def _cut(length: int, bits: int, schema: pa.Schema, carry_types: list[pa.DataType], with_text: bool, digests: bool):
     def run(batches):
         for r in _rows(batches):
-            ids, data, off, (a, b, _, text, _), cls, rep = _classes(r, length, bits)
+            ids, data, off, (a, b, _, text, _), cls, rep, _, _ = _classes(r, length, bits)
             seen = np.zeros(len(rep), np.int64)
             for h in r["hits"] or []:
                 n = len(h) // 12
@@ -393,10 +431,11 @@ def without_repeats(
     total = seg.agg(F.count(F.lit(1)).alias("n")).first()["n"] * SEGMENT_BYTES
     bits = max(6, min(30, math.ceil(math.log2(max(1, total / BUCKET_BYTES)))))
     texts = seg.select("seg", "ids", "lens", "data")
-    lists = texts.mapInArrow(_anchor_lists(length, bits), "bucket int, seg long, vals binary, several binary")
-    marks = written(lists.groupBy("bucket").applyInPandas(_shared_marks, "seg long, bucket int, marks binary"), "marks")
+    lists = texts.mapInArrow(_anchor_lists(length, bits), "bucket int, seg long, vals binary, several binary, more binary")
+    marks = written(lists.groupBy("bucket").applyInPandas(_shared_marks(length, HOT_KINDS), "seg long, bucket int, marks binary, singles long"), "marks")
+    parts = max(1, math.ceil((marks.agg(F.sum("singles").alias("n")).first()["n"] or 0) / WINDOWS_A_PART))
     marks = marks.groupBy("seg").agg(F.collect_list(F.struct("bucket", "marks")).alias("marks"))  # 2**bits small rows a segment
-    entries = texts.join(marks, "seg").mapInArrow(_entries(length, bits), "bucket int, seg long, n int, blob binary")
+    entries = texts.join(marks, "seg").mapInArrow(_entries(length, bits, parts), "bucket int, seg long, n int, blob binary")
     hits = written(entries.groupBy("bucket").applyInPandas(_verdicts(length), "seg long, hits binary"), "hits")
     hits = hits.groupBy("seg").agg(F.collect_list("hits").alias("hits"))
     kept = [docs.select(docs[c].alias(c)).schema[0] for c in carry]

@@ -182,6 +182,47 @@ def test_suffix_dedup(spark):
     assert Counter(tuple(r)[:5] for r in got.collect()) == want
 
 
+def _cut_by_hand(rows):
+    first = {}
+    for i, t in rows:
+        b = t.encode()
+        for p in range(len(b) - 49):
+            first[b[p : p + 50]] = min(first.get(b[p : p + 50], i), i)
+    want = Counter()
+    for i, t in rows:
+        b = t.encode()
+        gone = [False] * len(b)
+        for p in range(len(b) - 49):
+            if first[b[p : p + 50]] < i:
+                gone[p : p + 50] = [True] * 50
+        want[i, sum(gone), hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()] += 1
+    return want
+
+
+def test_suffix_dedup_deals_out_the_runs_of_a_common_line(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT_KINDS", 40, raising=False)
+    monkeypatch.setattr(suffixes, "WINDOWS_A_PART", 100, raising=False)
+    real = suffixes._verdicts
+
+    def spied(length):
+        run = real(length)
+
+        def check(df):
+            assert df["n"].sum() <= 250, f"{df['n'].sum()} runs in one task"
+            return run(df)
+
+        return check
+
+    monkeypatch.setattr(suffixes, "_verdicts", spied)
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    line, tail = noise(40), [noise(30) for _ in range(20)]
+    rows = [(i, noise(5) + line + rng.choice(tail)[: rng.randint(8, 30)] + noise(30)) for i in range(400)]
+    rows += [(i + 200, t) for i, t in rows[:40]]  # repeated texts, ids shared with others
+    got = suffixes.without_repeats(_docs(spark, rows, 8)).collect()
+    assert Counter((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in got) == _cut_by_hand(rows)
+
+
 def _sets(text, k):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
