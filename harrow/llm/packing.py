@@ -2,8 +2,8 @@
 
 Items are dealt to partitions of a bounded number of items. Each partition packs by best-fit decreasing and compares its
 bin count with lower bounds from dual-feasible functions of its sizes. A partition that meets its bound keeps its bins, but for
-the loosest one; a partition with a gap gives up all bins that are not full. What is given up is dealt anew to fewer
-partitions and packed again, until one partition holds the rest.
+the loosest one; a partition with a gap gives up all bins that are not full. What is given up is dealt anew, to partitions of the
+same bounded size, and packed again, until one partition holds the rest or a round makes no fewer bins of it.
 """
 
 from __future__ import annotations
@@ -101,7 +101,7 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, offsets, room
 
 
-def _pack_round(items: DataFrame, parts: int, capacity: int, last: bool) -> DataFrame:
+def _pack_round(items: DataFrame, parts: int, capacity: int, last: bool, salt: int) -> DataFrame:
     def run(df):
         df = df.sort_values(["length", "doc_id", "piece", "start"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
         sizes = df["length"].to_numpy()
@@ -113,7 +113,8 @@ def _pack_round(items: DataFrame, parts: int, capacity: int, last: bool) -> Data
             loose[room.argmax()] |= room.max() > 0
         return df.assign(bin=bins.astype("int32"), offset=offsets, loose=loose[bins])
 
-    dealt = items.withColumn("place", F.pmod(F.xxhash64("doc_id", "piece", F.lit(parts)), F.lit(parts)).cast("int"))
+    row = F.coalesce("doc_id", F.monotonically_increasing_id())  # rows without an id must not all meet in one place
+    dealt = items.withColumn("place", F.pmod(F.xxhash64(row, "piece", F.lit(salt)), F.lit(parts)).cast("int"))
     return dealt.groupBy("place").applyInPandas(run, PACKED)
 
 
@@ -128,22 +129,24 @@ def packed(items: DataFrame, capacity: int = 2048) -> DataFrame:
         "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     out, rest = own, items.where(F.col("length") < capacity)
-    left = rest.count()
-    before = None
+    left, spare, spare_bins = rest.count(), None, None
     for k in range(MAX_ROUNDS):
         if not left:
             break
         parts = math.ceil(left / ITEMS_A_TASK)
-        if before is not None:
-            parts = min(parts, max(1, before // 2))
-        before, last = parts, parts == 1 or k == MAX_ROUNDS - 1
-        done = written(_pack_round(rest, parts, capacity, last), "packed")
+        last = parts == 1 or k == MAX_ROUNDS - 1
+        done = written(_pack_round(rest, parts, capacity, last, k), "packed")
         number = F.lit(k).cast("long") * 2**56 + F.col("place").cast("long") * 2**28 + F.col("bin")
-        out = out.union(done.where(~F.col("loose")).select(*items.columns, number.alias("sequence_id"), "offset"))
-        if last:
+        # Every bin has one item at offset 0.
+        sums = [F.sum(F.expr(c).cast("long")).alias(n) for n, c in (("bins", "offset = 0"), ("loose_bins", "loose and offset = 0"), ("left", "loose"))]
+        n = done.agg(*sums).first()
+        if spare is not None and n["bins"] >= spare_bins:
+            out = out.union(spare)  # the round before had them in no more bins
             break
+        out = out.union(done.where(~F.col("loose")).select(*items.columns, number.alias("sequence_id"), "offset"))
         rest = done.where("loose").select(*items.columns)
-        left = rest.count()
+        spare = done.where("loose").select(*items.columns, number.alias("sequence_id"), "offset")
+        left, spare_bins = n["left"], n["loose_bins"]
     return out
 
 

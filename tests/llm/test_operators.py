@@ -85,6 +85,30 @@ def test_packing_in_rounds(spark, monkeypatch):
     assert len(got) == 300 and len({r["sequence_id"] for r in got}) <= 1.06 * packing.lower_bound(sizes, 64)
 
 
+def test_packing_rounds_never_fill_a_task(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ITEMS_A_TASK", 20)
+    real = packing.best_fit_decreasing
+
+    def spied(sizes, capacity):
+        assert len(sizes) <= 60, f"{len(sizes)} items in one task"
+        return real(sizes, capacity)
+
+    monkeypatch.setattr(packing, "best_fit_decreasing", spied)
+    rng = random.Random(2)
+    # Middle sizes leave gaps in every bin, so every round gives up nearly all bins; some rows have no id.
+    rows = [(None if i % 3 == 0 else i, 0, i, rng.randint(13, 20), i) for i in range(600)]
+    got = packing.packed(spark.createDataFrame(rows, packing.PIECES), 64).collect()
+    assert sorted(r["start"] for r in got) == list(range(600))
+    seqs = {}
+    for r in got:
+        seqs.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for held in seqs.values():
+        held.sort()
+        assert [o for o, _ in held] == [sum(n for _, n in held[:i]) for i in range(len(held))] and sum(n for _, n in held) <= 64
+    sizes = np.sort(np.array([r["length"] for r in got]))[::-1]
+    assert len(seqs) <= 1.06 * len(real(sizes, 64)[2])  # of best-fit decreasing over the whole table
+
+
 def _greedy(word, starts, rests):
     at, n = 0, 0
     while at < len(word):
