@@ -335,8 +335,9 @@ def _verdicts(length: int):
         order = np.lexsort((doc, code))
         new = np.ones(len(order), bool)
         new[1:] = code[order][1:] != code[order][:-1]
-        smallest = np.empty(len(order), np.int64)
-        smallest[order] = doc[order][new][np.cumsum(new) - 1]
+        first = np.empty(len(order), np.int64)
+        first[order] = order[new][np.cumsum(new) - 1]
+        smallest = doc[first]
         bits = np.where(doc > smallest, (np.int64(1) << (size - length + 1)) - 1, 0)
         # One run of each kind is left; where an anchor has several kinds, their windows are compared. Runs of one window each
         # (all those of hot anchors) are told apart already.
@@ -361,6 +362,9 @@ def _verdicts(length: int):
             hit = covered_heads(np.ascontiguousarray(heads).view(f"S{length}").ravel(), doc[owner])
             np.bitwise_or.at(bits, owner[hit], np.int64(1) << j[hit])
             x = y
+        # A repeated row of the first document, in another segment, loses what the first one loses.
+        twin = doc == smallest
+        bits[twin] = bits[first[twin]]
         out, at = [], 0
         for c in classes:
             some = np.flatnonzero(bits[at : at + len(c)])

@@ -8,7 +8,9 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from harrow.llm import bpe, jaccard, merkle, nra, ordinal, packing, queries, suffixes, training_order, transcripts, wordpiece
@@ -247,6 +249,20 @@ def test_suffix_dedup_deals_out_the_runs_of_a_common_line(spark, monkeypatch):
     assert Counter((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in got) == _cut_by_hand(rows)
 
 
+def test_suffix_verdicts_of_a_repeated_row_in_two_segments():
+    def entries(rows):
+        ids, texts, lefts = zip(*rows)
+        sizes = np.array([len(t) for t in texts], "<u2")
+        parts = [np.array(ids, np.int64), np.arange(len(ids), dtype="<i4"), np.array(lefts, "u1"), sizes]
+        return zstandard.ZstdCompressor().compress(b"".join([x.tobytes() for x in parts] + list(texts)))
+
+    long = b"0123456789" * 2 + b"ABCDEFGHIJKLMNOPQRSTUVWX" + b"abcdefghij"  # five windows; the smaller document holds the first two
+    segs = [[(1, b"zzz" + long[:51], 23), (5, long, 20)], [(5, long, 20)]]
+    df = pd.DataFrame({"seg": [0, 1], "n": [len(x) for x in segs], "blob": [entries(x) for x in segs]})
+    got = [(np.frombuffer(h, "<i4", 1)[0], np.frombuffer(h, "<i8", 1, 4)[0]) if h else None for h in suffixes._verdicts(50)(df)["hits"]]
+    assert got == [(1, 0b11), (0, 0b11)]
+
+
 def _sets(text, k):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
