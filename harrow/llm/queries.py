@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import bpe, jaccard, merkle, nra, ordinal, packing, suffixes, training_order, transcripts, wordpiece
+from harrow.llm import bpe, divergence, jaccard, merkle, nra, ordinal, packing, repair, simhash, suffixes, training_order, transcripts, wordpiece
 from harrow.llm.common import public_tokenizer, table, written
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -59,6 +59,18 @@ def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"), 30, 50)
+
+
+def op12_simhash_components(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.linked(table(spark, sf, "documents"), 3, 3).select("doc_id", "fingerprint", "component_id")
+
+
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.repaired(table(spark, sf, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,6 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_transcripts,
         op10_fingerprints,
+        op11_source_divergence,
+        op12_simhash_components,
+        op13_conversation_repair,
     )
 }
 
@@ -110,4 +125,23 @@ ORACLES: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM s QUALIFY rank <= 20""",
+    "op11_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+              regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+          t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+          k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+          l AS (SELECT lang, count(*) AS v, sum(total) AS size FROM k GROUP BY ALL),
+          g AS (SELECT DISTINCT lang, source FROM d),
+          u AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+          c AS (SELECT g.lang, g.source, k.term, k.total, coalesce(u.n, 0) AS n FROM g JOIN k ON k.lang = g.lang
+              LEFT JOIN u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+          z AS (SELECT lang, source, sum(n) AS size FROM c GROUP BY ALL),
+          p AS (SELECT c.lang, c.source, c.term, c.n, 1 + (1000000000 * (c.n + 5)) // (z.size + 5 * l.v) AS p, 1 + (1000000000 * (c.total + 5)) // (l.size + 5 * l.v) AS q
+              FROM c JOIN z ON z.lang = c.lang AND z.source = c.source JOIN l ON l.lang = c.lang),
+          f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term GROUP BY ALL),
+          o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o
+        QUALIFY part = 'pair' OR rank <= 50""",
 }
