@@ -152,10 +152,19 @@ def _block(df: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": df["lang"].iloc[0], "source": source[other], "item": item[other], "value": value[other]})
 
 
-def _counted(docs: DataFrame) -> DataFrame:
+def _counted(docs: DataFrame, least_docs: int) -> DataFrame:
+    """(lang, source, term, n, total, first): counts of the kept terms with their total in the language; a null term stands for each group.
+
+    Tasks count what they read, so a term's rows are sources x tasks at most; one deal by (lang, term) then serves sums, totals and
+    the choice of terms. `first` marks one row per kept term.
+    """
     d = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counts = d.mapInArrow(_term_counts, "lang string, source string, term binary, n long, docs long")
-    return written(counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "term_counts")
+    parts = d.mapInArrow(_term_counts, "lang string, source string, term binary, n long, docs long").repartition("lang", "term")
+    counts = parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    term = Window.partitionBy("lang", "term").orderBy("source")
+    whole = term.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    told = counts.select("lang", "source", "term", "n", F.sum("n").over(whole).alias("total"), F.sum("docs").over(whole).alias("docs"), (F.row_number().over(term) == 1).alias("first"))
+    return written(told.where(F.col("term").isNull() | (F.col("docs") >= least_docs)).drop("docs"), "kept_counts")
 
 
 def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, block_entries: int = BLOCK_ENTRIES, tile: int = TILE) -> DataFrame:
@@ -167,17 +176,9 @@ def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, block_entries: i
     count each; groups without terms have baselines only, and a language without kept terms has pairs at distance 0. An
     empty table gives no rows. Only lang, source and text are read, so other columns cannot clash.
     """
-    counts = _counted(docs)
-    kept = written(
-        counts.where(F.col("term").isNotNull())
-        .groupBy("lang", "term")
-        .agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"))
-        .where(F.col("docs") >= least_docs)
-        .select("lang", "term", "total"),
-        "kept_terms",
-    )
-    entries = written(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "total"), "kept_counts")
-    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kinds"), F.sum("total").alias("all"))
+    counts = _counted(docs, least_docs)
+    entries = counts.where(F.col("term").isNotNull())
+    langs = entries.where("first").groupBy("lang").agg(F.count(F.lit(1)).alias("kinds"), F.sum("total").alias("all"))
     sizes = entries.groupBy("lang", "source").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("held"))
     groups = counts.where(F.col("term").isNull()).select("lang", "source").join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = groups.select("lang", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("size", "held", "kinds", "all")])
