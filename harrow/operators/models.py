@@ -1,4 +1,4 @@
-"""Estimators on Spark ML, set up from the parameter names that the run logs use.
+"""Estimators on Spark ML (boosting: `boosting`), set up from the parameter names that the run logs use.
 
 Rows are (features array<double>, label int). What has no Spark counterpart is ignored and named in
 each docstring; predictions therefore differ from other libraries' and only scores are comparable.
@@ -13,18 +13,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LinearSVC,
-    MultilayerPerceptronClassifier,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import PolynomialExpansion, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harrow.operators import boosting
+from harrow.operators.boosting import FittedBoost, Rules
 from harrow.operators.folds import training_size, with_class_weight
 
 MAX_DEPTH = 30  # Spark's own limit
@@ -115,40 +111,20 @@ def fit_rf(df: DataFrame, params: dict | None = None) -> FittedModel:
     return _fit("rf", rows, [rf], {"params": p})
 
 
-def fit_gbt(df: DataFrame, params: dict | None = None, flavour: str = "depth") -> FittedModel:
-    """Gradient boosting, one binary booster per class.
+def fit_gbt(df: DataFrame, params: dict | None = None, flavour: str = "depth") -> FittedBoost:
+    """Gradient boosting of all classes with a softmax loss.
 
-    'depth' reads n_estimators, learning_rate, max_depth, min_split_loss, subsample, colsample_bylevel;
-    'leaf' also min_child_samples, min_split_gain, bagging_fraction, feature_fraction and turns
-    num_leaves into the depth that can hold as many leaves. Leaf penalties, max_delta_step,
-    per-tree column sampling and leaf-wise growth do not carry over.
+    'depth' grows trees level by level and reads n_estimators, learning_rate, max_depth, min_split_loss, min_child_weight,
+    max_delta_step, reg_alpha, reg_lambda, subsample, colsample_bytree, colsample_bylevel; 'leaf' grows leaf by leaf and reads n_estimators, learning_rate,
+    num_leaves, max_depth, min_split_gain, min_child_samples, min_child_weight, lambda_l1, lambda_l2, bagging_fraction, bagging_freq,
+    feature_fraction, boost_from_average. Both read num_class, class_weight, random_state. objective, metric, boosting_type and verbosity name what is done anyway.
     """
     p = params or {}
-    if flavour == "leaf":
-        depth = p.get("max_depth", -1)
-        if int(depth) <= 0:
-            depth = math.ceil(math.log2(int(p.get("num_leaves", 31))))
-        gain, bag, cols = p.get("min_split_gain", 0.0), p.get("bagging_fraction", 1.0), p.get("feature_fraction", 1.0)
-        leaf = int(p.get("min_child_samples", 20))
-    elif flavour == "depth":
-        depth, leaf = p.get("max_depth", 6), 1
-        gain, bag, cols = p.get("min_split_loss", 0.0), p.get("subsample", 1.0), p.get("colsample_bylevel", 1.0)
-    else:
+    if flavour not in ("depth", "leaf"):
         raise ValueError("flavour is 'depth' or 'leaf'")
-    gbt = GBTClassifier(
-        featuresCol="_x",
-        labelCol="label",
-        maxIter=int(p.get("n_estimators", 100)),
-        stepSize=float(p.get("learning_rate", 0.3 if flavour == "depth" else 0.1)),
-        maxDepth=_depth(depth),
-        minInfoGain=float(gain),
-        minInstancesPerNode=leaf,
-        subsamplingRate=float(bag),
-        featureSubsetStrategy="all" if float(cols) >= 1.0 else str(float(cols)),
-        seed=int(p.get("random_state", 42)),
-    )
-    ovr = OneVsRest(classifier=gbt, featuresCol="_x", labelCol="label", predictionCol="prediction", parallelism=4)
-    return _fit(f"gbt_{flavour}", df, [ovr], {"params": p})
+    rows, weight = _weighted(df, p)
+    rules = Rules.leaf_wise(p) if flavour == "leaf" else Rules.depth_wise(p)
+    return boosting.fit(rows, rules, f"gbt_{flavour}", p, p.get("num_class"), weight)
 
 
 def fit_svc(df: DataFrame, params: dict | None = None, n_fourier: int = 128) -> FittedModel:
@@ -215,10 +191,13 @@ def fit_mlp(df: DataFrame, params: dict | None = None) -> FittedModel:
     return _fit("mlp", df, [scale, mlp], {"params": p})
 
 
-def predict(df: DataFrame, model: FittedModel, name: str | None = None, fingerprint: str | None = None) -> DataFrame:
+def predict(df: DataFrame, model: FittedModel | FittedBoost, name: str | None = None, fingerprint: str | None = None) -> DataFrame:
     """The input rows plus `pred`, and the model name and fingerprint when given."""
-    out = model.pipeline.transform(_vectors(df, model.spec))
-    cols = [*df.columns, F.col("prediction").cast("int").alias("pred")]
+    if isinstance(model, FittedBoost):
+        out, pred = model(df), F.col("pred")
+    else:
+        out, pred = model.pipeline.transform(_vectors(df, model.spec)), F.col("prediction").cast("int").alias("pred")
+    cols = [*df.columns, pred]
     if name is not None:
         cols.append(F.lit(name).alias("model"))
     if fingerprint is not None:
@@ -226,12 +205,14 @@ def predict(df: DataFrame, model: FittedModel, name: str | None = None, fingerpr
     return out.select(*cols)
 
 
-def with_scores(df: DataFrame, model: FittedModel, out: str) -> DataFrame:
+def with_scores(df: DataFrame, model: FittedModel | FittedBoost, out: str) -> DataFrame:
     """The input rows plus an array of class scores that add up to 1.
 
     Models without probabilities give one margin per class; each goes through the logistic function
     and the results are scaled to add up to 1 (our stand-in for calibrated probabilities).
     """
+    if isinstance(model, FittedBoost):
+        return model.scores(df, out)
     scored = model.pipeline.transform(_vectors(df, model.spec))
     if "probability" in scored.columns:
         scores = vector_to_array("probability")
@@ -246,7 +227,7 @@ def with_scores(df: DataFrame, model: FittedModel, out: str) -> DataFrame:
 class FittedVote:
     """Members voting row by row: their score arrays sit side by side, so no join or shuffle is needed."""
 
-    members: dict[str, FittedModel]
+    members: dict[str, FittedModel | FittedBoost]
     how: str = "soft"
     weights: dict[str, float] = field(default_factory=dict)
 
@@ -289,13 +270,15 @@ def class_scores(df: DataFrame, model: FittedModel, member: str, key: str) -> Da
     return rows.select("sample", F.lit(member).alias("member"), "cls", "score")
 
 
-def save_model(model: FittedModel | FittedVote, root: str, name: str) -> str:
+def save_model(model: FittedModel | FittedBoost | FittedVote, root: str, name: str) -> str:
     """Model and feature map under `root`/`name`; the folder must be shared. An ensemble keeps each member below its own."""
     path = f"{root.rstrip('/')}/{name}"
     if isinstance(model, FittedVote):
         for member, fitted in model.members.items():
             save_model(fitted, f"{path}/members", member)
         spec = {"kind": "vote", "members": list(model.members), "how": model.how, "weights": model.weights}
+    elif isinstance(model, FittedBoost):
+        spec = {"kind": "boost", "model": model.to_json()}
     else:
         model.pipeline.write().overwrite().save(f"{path}/pipeline")
         spec = {"kind": model.kind, "spec": model.spec}
@@ -304,10 +287,12 @@ def save_model(model: FittedModel | FittedVote, root: str, name: str) -> str:
     return path
 
 
-def load_model(spark: SparkSession, root: str, name: str) -> FittedModel | FittedVote:
+def load_model(spark: SparkSession, root: str, name: str) -> FittedModel | FittedBoost | FittedVote:
     path = f"{root.rstrip('/')}/{name}"
     spec = json.loads(spark.read.text(f"{path}/spec").first()["value"])
     if spec["kind"] == "vote":
         members = {m: load_model(spark, f"{path}/members", m) for m in spec["members"]}
         return FittedVote(members, spec["how"], spec["weights"])
+    if spec["kind"] == "boost":
+        return FittedBoost.from_json(spec["model"])
     return FittedModel(spec["kind"], PipelineModel.load(f"{path}/pipeline"), spec["spec"])

@@ -87,6 +87,13 @@ def v_pred(spark, sf) -> DataFrame:
     )
 
 
+def v_graded(spark, sf) -> DataFrame:
+    """Lines with four features of few values and four classes."""
+    label = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "R", 1).when(F.col("l_linestatus") == "F", 2).otherwise(3)
+    features = F.array(*[F.col(c).cast("double") for c in ("l_linenumber", "l_quantity", "l_discount", "l_tax")])
+    return table(spark, sf, "lineitem").select(features.alias("features"), label.alias("label"))
+
+
 def v_pixels(spark, sf) -> DataFrame:
     month = (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("int")
     return table(spark, sf, "lineitem").select(
@@ -191,6 +198,8 @@ VIEWS = {
         CASE WHEN l_orderkey % 4 < 3 THEN label ELSE (label + 1 + l_linenumber % 2) % 3 END AS pred,
         l_quantity / 100 + CASE WHEN label = 0 THEN 0.5 ELSE 0.0 END AS score, l_linestatus, l_linenumber
         FROM (SELECT *, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS label FROM lineitem)""",
+    "v_graded": """SELECT [CAST(l_linenumber AS DOUBLE), CAST(l_quantity AS DOUBLE), CAST(l_discount AS DOUBLE), CAST(l_tax AS DOUBLE)] AS features,
+        CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'R' THEN 1 WHEN l_linestatus = 'F' THEN 2 ELSE 3 END AS label FROM lineitem""",
     "v_pixels": """SELECT l_suppkey % 10 AS x, l_partkey % 10 AS y,
         CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS period, l_discount AS B04, l_tax AS B03,
         l_quantity / 500 AS B02, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS dataMask FROM lineitem""",

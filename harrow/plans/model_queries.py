@@ -33,17 +33,79 @@ def _four_classes(spark, sf):
 @query("M2")
 def fit_gbt_depth(spark, sf):
     df = _four_classes(spark, sf)
-    params = {"num_class": 4, "n_estimators": 3, "learning_rate": 0.2, "max_depth": 3, "min_split_loss": 0.0, "subsample": 0.9, "colsample_bylevel": 0.9}
+    params = {"num_class": 4, "n_estimators": 10, "learning_rate": 0.12, "max_depth": 4, "min_split_loss": 0.5, "max_delta_step": 3.0, "reg_alpha": 0.5, "reg_lambda": 1.6, "subsample": 0.9, "colsample_bytree": 0.8, "colsample_bylevel": 0.9}
     return _predicted(df, L.fit_gbt(df, params))
 
 
 @query("M3")
 def fit_gbt_leaf(spark, sf):
     df = X.training_table(spark, sf).withColumn("label", F.col("label") % 3)
-    params = {"num_class": 3, "n_estimators": 3, "learning_rate": 0.2, "num_leaves": 8, "min_child_samples": 5, "bagging_fraction": 0.9, "feature_fraction": 0.9}
+    params = {"num_class": 3, "n_estimators": 8, "learning_rate": 0.12, "num_leaves": 12, "min_child_samples": 7, "lambda_l1": 0.1, "lambda_l2": 0.5, "bagging_fraction": 0.9, "bagging_freq": 3, "feature_fraction": 0.9}
     return _predicted(df, L.fit_gbt(df, params, flavour="leaf"))
 
 
+def _boost_sums(rows: str, by: str, hessian: str) -> str:
+    """SQL of all splits of groups of rows (cls, `by`, features, label) on the first round, where each of four classes has probability 1 / 4."""
+    return f"""SELECT cls, {by}, feature, x, sum(n) OVER upto AS nl, sum(g) OVER upto AS gl, {hessian} * sum(n) OVER upto AS hl,
+          sum(n) OVER all_of AS n, sum(g) OVER all_of AS g, {hessian} * sum(n) OVER all_of AS h
+        FROM (SELECT cls, {by}, feature, x, count(*) AS n, 0.25::DOUBLE * count(*) - count(*) FILTER (label = cls) AS g
+          FROM (SELECT cls, {by}, label, unnest(features) AS x, unnest([0, 1, 2, 3]) AS feature FROM {rows}) GROUP BY ALL)
+        WINDOW upto AS (PARTITION BY cls, {by}, feature ORDER BY x), all_of AS (PARTITION BY cls, {by}, feature)"""
+
+
+def _boost_best(sums: str, by: str, l1: float, l2: float, least: str) -> str:
+    """SQL of the best of these splits per (cls, `by`), with the cut between neighbouring values of the whole table."""
+    merit = lambda g, h: f"greatest(abs({g}) - {l1}, 0) * greatest(abs({g}) - {l1}, 0) / ({h} + {l2}::DOUBLE)"
+    return f"""SELECT *, {merit("gl", "hl")} + {merit("(g - gl)", "(h - hl)")} - {merit("g", "h")} AS gain FROM {sums} JOIN cuts USING (feature, x)
+        WHERE {least} AND gain > 1e-12 QUALIFY row_number() OVER (PARTITION BY cls, {by} ORDER BY gain DESC, feature, x) = 1"""
+
+
+_CUTS = "cuts AS (SELECT feature, x, x + (lead(x) OVER (PARTITION BY feature ORDER BY x) - x) / 2 AS threshold FROM (SELECT DISTINCT unnest(features) AS x, unnest([0, 1, 2, 3]) AS feature FROM v_graded) QUALIFY threshold IS NOT NULL)"
+_EACH = "each AS (SELECT cls, 1 AS node, features, label FROM v_graded, range(4) c(cls))"
+
+
+def _boost_nodes(tables: str, l1: float, l2: float, rate: float) -> str:
+    value = f"-sign(g) * greatest(abs(g) - {l1}, 0) / (h + {l2}::DOUBLE) * {rate}::DOUBLE"
+    return f"""SELECT CAST(0 AS INTEGER) AS round, CAST(cls AS INTEGER) AS cls, CAST(node AS BIGINT) AS node, CAST(feature AS INTEGER) AS feature,
+        round(threshold, 6) AS threshold, round(gain, 6) AS gain, round({value}, 6) AS value FROM ({tables})"""
+
+
+@query(
+    "M2",
+    f""", {_EACH}, {_CUTS}, s AS ({_boost_sums("each", "node", "0.375::DOUBLE")}),
+      b AS ({_boost_best("s", "node", 2.0, 1.5, "hl >= 30 AND h - hl >= 30")}),
+      t AS (SELECT cls, 1 AS node, feature, threshold, gain, g, h FROM b
+        UNION ALL SELECT cls, 2, NULL, NULL, NULL, gl, hl FROM b UNION ALL SELECT cls, 3, NULL, NULL, NULL, g - gl, h - hl FROM b)
+    {_boost_nodes("SELECT * FROM t", 2.0, 1.5, 0.3)}""",
+    ("v_graded",),
+)
+def boost_round(spark, sf):
+    """First round of one split per class, with leaf penalties: every node of the trees."""
+    params = {"num_class": 4, "n_estimators": 1, "max_depth": 1, "learning_rate": 0.3, "reg_alpha": 2.0, "reg_lambda": 1.5, "min_child_weight": 30.0}
+    return rounded(L.fit_gbt(X.v_graded(spark, sf), params).trees(spark))
+
+
+@query(
+    "M3",
+    f""", {_EACH}, {_CUTS}, s AS ({_boost_sums("each", "node", "0.25::DOUBLE")}),
+      b AS ({_boost_best("s", "node", 0.5, 1.0, "nl >= 20 AND n - nl >= 20")}),
+      sides AS (SELECT e.cls, CASE WHEN list_extract(e.features, b.feature + 1) <= b.threshold THEN 2 ELSE 3 END AS node, e.features, e.label FROM each e JOIN b USING (cls)),
+      s2 AS ({_boost_sums("sides", "node", "0.25::DOUBLE")}),
+      b2 AS ({_boost_best("s2", "node", 0.5, 1.0, "nl >= 20 AND n - nl >= 20")}),
+      c AS (SELECT * FROM b2 QUALIFY row_number() OVER (PARTITION BY cls ORDER BY gain DESC, node) = 1),
+      t AS (SELECT cls, 1 AS node, feature, threshold, gain, g, h FROM b
+        UNION ALL SELECT cls, node, feature, threshold, gain, g, h FROM c
+        UNION ALL SELECT cls, 2 * node, NULL, NULL, NULL, gl, hl FROM c UNION ALL SELECT cls, 2 * node + 1, NULL, NULL, NULL, g - gl, h - hl FROM c
+        UNION ALL SELECT b.cls, 5 - c.node, NULL, NULL, NULL, CASE WHEN c.node = 3 THEN b.gl ELSE b.g - b.gl END, CASE WHEN c.node = 3 THEN b.hl ELSE b.h - b.hl END FROM b JOIN c USING (cls))
+    {_boost_nodes("SELECT * FROM t", 0.5, 1.0, 0.1)}""",
+    ("v_graded",),
+)
+def boost_leaves(spark, sf):
+    """First round of three leaves per class, the better of the two second splits: every node of the trees."""
+    params = {"num_class": 4, "n_estimators": 1, "num_leaves": 3, "lambda_l1": 0.5, "lambda_l2": 1.0, "min_child_samples": 20, "boost_from_average": False}
+    return rounded(L.fit_gbt(X.v_graded(spark, sf), params, "leaf").trees(spark))
+
+
 @query("M4")
 def fit_svc_linear(spark, sf):
     df = _four_classes(spark, sf)
