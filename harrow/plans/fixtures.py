@@ -155,6 +155,14 @@ def v_cells(spark, sf) -> tuple[DataFrame, DataFrame]:
     return cells(F.col("l_linestatus") == "O"), cells(F.col("l_returnflag") == "A")
 
 
+def v_fields(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(predicted, true) cells per month, sparse enough for many regions."""
+    month = (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("int")
+    li = table(spark, sf, "lineitem").select("l_quantity", "l_discount", month.alias("variant"), F.col("l_suppkey").alias("x"), (F.col("l_partkey") % 50).alias("y"))
+    cells = lambda cond: li.where(cond).select("variant", "x", "y")
+    return cells(F.col("l_quantity") > 8), cells(F.col("l_discount") < 0.09)
+
+
 def v_pins(spark, sf) -> DataFrame:
     return table(spark, sf, "part").select(
         F.concat(F.lit("family"), F.col("p_partkey") % 4).alias("model"),
@@ -212,6 +220,7 @@ VIEWS = {
     "v_points": """SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS lon, CAST(embedding[2] AS DOUBLE) AS lat FROM embeddings""",
     "v_boxes": """SELECT label AS box, avg(lon) - stddev_samp(lon) / 2 AS min_lon, avg(lon) + stddev_samp(lon) / 2 AS max_lon,
         avg(lat) - stddev_samp(lat) / 2 AS min_lat, avg(lat) + stddev_samp(lat) / 2 AS max_lat FROM v_points GROUP BY 1""",
+    "v_field_lines": """SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS variant, l_suppkey AS x, l_partkey % 50 AS y, l_quantity, l_discount FROM lineitem""",
     "v_pins": """SELECT 'family' || CAST(p_partkey % 4 AS VARCHAR) AS model, p_partkey // 20 AS run, p_brand AS package,
         CASE WHEN p_size % 2 = 0 THEN '==' ELSE '<=' END AS op, CAST(p_size AS VARCHAR) || '.0' AS version FROM part""",
     "v_layers": """SELECT c_nationkey AS patch, c_mktsegment AS name,

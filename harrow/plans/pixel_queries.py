@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from harrow.operators import fields as D
 from harrow.operators import pixels as P
 from harrow.operators import regions as G
 from harrow.plans import fixtures as X
@@ -135,3 +136,57 @@ def zonal_majority(spark, sf):
 def zonal_shares(spark, sf):
     px = X.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("zone"), F.col("l_returnflag").alias("cls"))
     return rounded(G.zonal_shares(px, ["zone"]), 9)
+
+
+def _labels_sql(name: str, condition: str) -> str:
+    """SQL of all cells that a cell reaches side by side, and its region's smallest cell."""
+    near = "c.variant = r.variant AND abs(c.x - r.x) + abs(c.y - r.y) = 1"
+    return f"""{name}_cells AS (SELECT DISTINCT variant, x, y FROM v_field_lines WHERE {condition}),
+      {name}_reach AS (SELECT variant, x, y, x AS to_x, y AS to_y FROM {name}_cells
+        UNION SELECT c.variant, c.x, c.y, r.to_x, r.to_y FROM {name}_reach r JOIN {name}_cells c ON {near}),
+      {name}_far AS (SELECT variant, x, y, min({{'x': to_x, 'y': to_y}}) AS region FROM {name}_reach GROUP BY ALL)"""
+
+
+# Recursive tables need the keyword at the head of the whole list.
+_FIELDS = f"""WITH RECURSIVE v_field_lines AS ({X.VIEWS["v_field_lines"]}), {_labels_sql("pred", "l_quantity > 8")}, {_labels_sql("true", "l_discount < 0.09")},
+  pred AS (SELECT * FROM pred_far), tru AS (SELECT * FROM true_far),
+  ps AS (SELECT variant, region, count(*) AS n FROM pred GROUP BY ALL), ts AS (SELECT variant, region, count(*) AS n FROM tru GROUP BY ALL),
+  o AS (SELECT variant, p.region AS pr, t.region AS tr, count(*) AS k FROM pred p JOIN tru t USING (variant, x, y) GROUP BY ALL),
+  w AS (SELECT variant, pr, tr, ps.n AS pn, ts.n AS tn, k FROM o JOIN ps USING (variant) JOIN ts USING (variant) WHERE ps.region = pr AND ts.region = tr
+    UNION ALL SELECT variant, region, NULL, n, 0, 0 FROM ps WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.variant = ps.variant AND o.pr = ps.region)
+    UNION ALL SELECT variant, NULL, region, 0, n, 0 FROM ts WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.variant = ts.variant AND o.tr = ts.region)),
+  i AS (SELECT variant, pr, tr, pn, tn, k, k / CAST(pn + tn - k AS DOUBLE) AS iou FROM w)"""
+
+
+def _field_labels(spark, sf, tile=64):
+    pred, true = X.v_fields(spark, sf)
+    return D.label_regions(pred, ["variant"], tile=tile), D.label_regions(true, ["variant"], tile=tile)
+
+
+@query("J13", _FIELDS + " SELECT variant, x, y, region.x AS region_x, region.y AS region_y FROM pred")
+def region_labels(spark, sf):
+    return _field_labels(spark, sf, 16)[0]
+
+
+@query(
+    "J13",
+    _FIELDS
+    + """ SELECT variant, pr.x AS pred_x, pr.y AS pred_y, tr.x AS true_x, tr.y AS true_y, CAST(pn AS BIGINT) AS pred_cells, CAST(tn AS BIGINT) AS true_cells,
+      CAST(k AS BIGINT) AS "both", round(iou, 6) AS iou FROM i""",
+)
+def region_overlaps(spark, sf):
+    return rounded(D.region_overlaps(*_field_labels(spark, sf), ["variant"]))
+
+
+@query(
+    "J13",
+    _FIELDS
+    + """, a AS (SELECT variant, count(DISTINCT pr) AS p, count(DISTINCT tr) AS t, count(*) FILTER (iou > 0.5) AS m, avg(iou) FILTER (iou > 0.5) AS mean FROM i GROUP BY ALL),
+      s AS (SELECT variant, count(*) AS split FROM (SELECT variant, tr FROM i WHERE k > 0 GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL),
+      g AS (SELECT variant, count(*) AS merged FROM (SELECT variant, pr FROM i WHERE k > 0 GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL)
+    SELECT variant, p AS pred_regions, t AS true_regions, m AS matches, round(CASE WHEN p > 0 THEN m / CAST(p AS DOUBLE) ELSE 0 END, 6) AS precision,
+      round(CASE WHEN t > 0 THEN m / CAST(t AS DOUBLE) ELSE 0 END, 6) AS recall, round(2.0::DOUBLE * m / (p + t), 6) AS f1, round(coalesce(mean, 0), 6) AS mean_iou,
+      coalesce(split, 0) AS split, coalesce(merged, 0) AS merged FROM a LEFT JOIN s USING (variant) LEFT JOIN g USING (variant)""",
+)
+def region_scores(spark, sf):
+    return rounded(D.region_scores(D.region_overlaps(*_field_labels(spark, sf), ["variant"]), ["variant"]))
