@@ -9,15 +9,18 @@ from __future__ import annotations
 import json
 import os
 import re
-import unicodedata
 
 import numpy as np
+import pandas as pd
 import regex
 
 from harrow.llm.merges import MergeLoop, PrefixTable, byte_letters
+from harrow.llm.text import mixed, word_spans
 
 CACHE_ENTRIES = 600_000
 LONG_CHUNK = 64
+#: Bytes of words looked up at once.
+LOT_BYTES = 4 << 20
 #: Below this letter the pattern engines and case rules used here and in the library agree.
 PLAIN_BELOW = "ɐ"
 
@@ -76,26 +79,109 @@ class _Chunks:
 class WordEncoder(_Chunks):
     """For the lower-casing word vocabulary that drops white space: chunks are words between ASCII white space."""
 
-    _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    #: Pieces of words that stand one to a line; the line feed is a piece of its own.
+    _PIECE = regex.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    _RARE = re.compile(f"[^\\x00-{chr(ord(PLAIN_BELOW) - 1)}]|<\\|")
 
     def __init__(self, path: str):
         super().__init__(path)
         self.coder = MergeLoop(self.spec)
-
-    def _split(self, word: bytes):
-        text = word.decode("utf-8", "replace")
-        if not text.isascii() and (max(text) >= PLAIN_BELOW or not unicodedata.is_normalized("NFC", text)):
-            return None
-        if "<|" in text:
-            return None
-        return [p.encode() for p in self._PIECE.findall(text.lower())]
+        self.ids_of: dict[str, bytes] = {"\n": b""}
 
     def make(self, words: list[bytes]) -> dict:
-        return self.split_all(words, self._split)
+        """All new words are split by one pattern call; below PLAIN_BELOW every text is in normal form and lower case knows no context."""
+        if not words:
+            return {}
+        if len(self.ids_of) > CACHE_ENTRIES * 2 // 3:
+            self.ids_of = {"\n": b""}
+        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
+        rare = self._RARE.search
+        plain = [t.isascii() and "<|" not in t or not rare(t) for t in texts]
+        pieces = self._PIECE.findall("".join([t + "\n" for t, p in zip(texts, plain) if p]).lower())
+        new = list(set(pieces) - self.ids_of.keys())
+        self.ids_of.update(zip(new, self.coder.encode([p.encode() for p in new]), strict=True))
+        parts = list(map(self.ids_of.__getitem__, pieces))
+        # Only the line feed has no ids.
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        ends = np.cumsum(size)[size == 0].tolist()
+        ids = b"".join(parts)
+        made = dict(zip((w for w, p in zip(words, plain) if p), (ids[x:y] for x, y in zip([0, *ends], ends)), strict=True))
+        made.update((w, self.by_library(w)) for w, p in zip(words, plain) if not p)
+        for p in new:
+            if len(p) > LONG_CHUNK:
+                del self.ids_of[p]
+        return made
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        return self.lookup([t.split() for t in texts])
+        raw = b"".join(texts)
+        data = np.frombuffer(raw, np.uint8)
+        start, end, text = word_spans(data, np.cumsum([0, *map(len, texts)]))
+        ids, tokens = [], np.zeros(len(texts) + 1, np.int64)
+        lot = np.cumsum(end - start) // LOT_BYTES
+        edges = np.searchsorted(lot, np.arange(int(lot[-1]) + 2)) if len(lot) else []
+        for a, b in zip(edges, edges[1:]):
+            if a == b:
+                continue
+            first, again = distinct_words(data, start[a:b], end[a:b])
+            parts = self.known_ids([raw[x:y] for x, y in zip(start[a:b][first].tolist(), end[a:b][first].tolist())])
+            flat = np.frombuffer(b"".join(parts), "<u4")
+            size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+            count = size[again]
+            ids.append(flat[_runs_at((np.cumsum(size) - size)[again], count)].tobytes())
+            tokens[1:] += np.bincount(text[a:b], count, len(texts)).astype(np.int64)
+        whole, ends = b"".join(ids), np.cumsum(4 * tokens).tolist()
+        return [whole[x:y] for x, y in zip(ends, ends[1:])]
+
+    def known_ids(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct words."""
+        if len(self.known) > CACHE_ENTRIES:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        self.known.update(self.make(new))
+        out = list(map(self.known.__getitem__, words))
+        for w in new:
+            if len(w) > LONG_CHUNK:
+                del self.known[w]
+        return out
+
+
+def _runs_at(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, .. of `size` places each, one run after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
+
+
+def distinct_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of distinct words, which of them each word is). Words with one code are told apart by their bytes, eight at a time."""
+    size = end - start
+    # Eight bytes from any place on; the last places have zeros behind them.
+    eight = np.ndarray(len(data) + 1, "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+
+    def chunks():
+        at, k = np.arange(len(size)), 0
+        while len(at):
+            yield at, k, _KEEP[np.minimum(size[at] - k, 8)]
+            k += 8
+            at = at[size[at] > k]
+
+    code = size.astype(np.uint64)
+    for at, k, keep in chunks():
+        code[at] = mixed(code[at] ^ (eight[start[at] + k] & keep))
+    again, codes = pd.factorize(code)
+    first = np.empty(len(codes), np.int64)
+    first[again[::-1]] = np.arange(len(size) - 1, -1, -1)
+    model = first[again]
+    alike = size == size[model]
+    for at, k, keep in chunks():
+        there = np.minimum(start[model[at]] + k, len(data))
+        alike[at] &= (eight[start[at] + k] & keep) == (eight[there] & keep)
+    other = np.flatnonzero(~alike)
+    again[other] = len(first) + np.arange(len(other))
+    return np.concatenate([first, other]), again
 
 
 class ByteEncoder(_Chunks):

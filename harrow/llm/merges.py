@@ -87,8 +87,11 @@ class MergeLoop:
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each word (no empty words)."""
         out: list[bytes] = [b""] * len(words)
-        for n, places in by_length(words).items():
-            raw = np.frombuffer(b"".join([words[i] for i in places]), np.uint8).reshape(-1, n)
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(length, kind="stable")
+        for n in np.unique(length).tolist():
+            places = order[np.searchsorted(length[order], n) : np.searchsorted(length[order], n, "right")].tolist()
+            raw = np.frombuffer(b"".join(map(words.__getitem__, places)), np.uint8).reshape(-1, n)
             ids = self.inner[raw]
             ids[:, -1] = self.final[raw[:, -1]]
             size = np.full(len(ids), n)
@@ -110,9 +113,10 @@ class MergeLoop:
                 ids[live, : width - 1] = shifted
                 size[live] -= 1
                 live = live[size[live] > 1]
-            packed = ids.astype("<u4")
-            for row, i in enumerate(places):
-                out[i] = packed[row, : size[row]].tobytes()
+            packed = ids.astype("<u4")[np.arange(n) < size[:, None]].tobytes()
+            ends = np.cumsum(4 * size).tolist()
+            for i, x, y in zip(places, [0, *ends], ends):
+                out[i] = packed[x:y]
         return out
 
 
