@@ -42,8 +42,12 @@ def kappa(pred: DataFrame, by: list[str] = ("fold",)) -> DataFrame:
 
 def scores(pred: DataFrame, cls: int = 0, by: list[str] = ("fold",)) -> DataFrame:
     """Accuracy, F1 of one class and kappa per group, from one pass over the predictions."""
+    return scores_of_cells(confusion(pred, by), cls, by)
+
+
+def scores_of_cells(cells: DataFrame, cls: int = 0, by: list[str] = ("fold",)) -> DataFrame:
+    """The scores from counts (*by, label, pred, n); a cell may come in several rows."""
     by = list(by)
-    cells = confusion(pred, by)
     # Row and column totals of the confusion matrix, side by side per class.
     margins = cells.select(
         *by,

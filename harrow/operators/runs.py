@@ -231,22 +231,35 @@ def average_ranks(df: DataFrame, by: list[str], col: str, out: str, hot_rows=Non
     return upto.select(*by, col, (F.col("_cum") - (F.col("_n") - 1) / 2.0).alias(out))
 
 
-def param_effect(trials: DataFrame, by: list[str] = ("script", "key")) -> DataFrame:
-    """Pearson and rank correlation of a numeric parameter `x` with the objective, per (script, key)."""
+def param_effect(trials: DataFrame, by: list[str] = ("script", "key"), hot_rows=None) -> DataFrame:
+    """Pearson and rank correlation of a numeric parameter `x` with the objective, per (script, key).
+
+    Trials without a parameter or an objective (null or NaN) take no part. Small groups are ranked by two windows; with a group above
+    `hot_rows` the values are counted and ranked as counts.
+    """
     by = list(by)
-    rx = average_ranks(trials, by, "x", "rx")
-    ry = average_ranks(trials, by, "objective", "ry")
-    ranked = join_groups(join_groups(trials, rx, [*by, "x"]), ry, [*by, "objective"])
+    known = trials.where(_valid() & F.col("x").isNotNull() & ~F.isnan("x"))
+    limit = session_hot_rows(trials.sparkSession) if hot_rows is None else hot_rows
+    if not by or has_hot_group(known, by, limit):
+        rx = average_ranks(known, by, "x", "rx", hot_rows)
+        ry = average_ranks(known, by, "objective", "ry", hot_rows)
+        ranked = join_groups(join_groups(known, rx, [*by, "x"]), ry, [*by, "objective"])
+    else:
+
+        def rank(col: str) -> Column:
+            ties = F.count(F.lit(1)).over(Window.partitionBy(*by, col))
+            return F.rank().over(Window.partitionBy(*by).orderBy(col)) + (ties - 1) / 2.0
+
+        ranked = known.withColumn("rx", rank("x")).withColumn("ry", rank("objective"))
     return ranked.groupBy(*by).agg(
         F.corr("x", "objective").alias("pearson"), F.corr("rx", "ry").alias("spearman"), F.count(F.lit(1)).alias("n")
     )
 
 
 def enum_effect(trials: DataFrame, by: list[str] = ("script", "key")) -> DataFrame:
-    """Mean and best objective per enum value."""
-    return trials.groupBy(*by, "value").agg(
-        F.avg("objective").alias("mean"), F.max("objective").alias("best"), F.count(F.lit(1)).alias("n")
-    )
+    """Mean and best objective per enum value, and its trials; a null or NaN objective counts as a trial only."""
+    known = F.when(_valid(), F.col("objective"))
+    return trials.groupBy(*by, "value").agg(F.avg(known).alias("mean"), F.max(known).alias("best"), F.count(F.lit(1)).alias("n"))
 
 
 def key_census(params: DataFrame) -> DataFrame:

@@ -165,8 +165,7 @@ def run_search(spark, sf):
 _SEARCH_DRAW = "(('0x' || substr(md5('11|by|' || CAST(trial AS VARCHAR)), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE"
 
 
-@query(
-    "M7 S11",
+_SEARCH_LOG = (
     f""", t AS (SELECT trial, list_extract(['l_linestatus', 'l_linenumber', 'l_both'], CAST(floor({_SEARCH_DRAW} * 3) AS BIGINT) + 1) AS grouping_name FROM range(0, 4) r(trial)),
       v AS (SELECT trial, fold, label, CASE grouping_name WHEN 'l_linestatus' THEN l_linestatus WHEN 'l_linenumber' THEN CAST(l_linenumber AS VARCHAR)
           ELSE l_linestatus || CAST(l_linenumber AS VARCHAR) END AS g FROM v_pred, t),
@@ -181,15 +180,28 @@ _SEARCH_DRAW = "(('0x' || substr(md5('11|by|' || CAST(trial AS VARCHAR)), 1, 12)
       m AS (SELECT trial, split, metric, avg(value) AS value FROM k GROUP BY ALL)
     SELECT 'rules-' || CAST(trial AS VARCHAR) AS run, split, metric, CAST(f AS INTEGER) AS fold, CAST(NULL AS VARCHAR) AS summary, round(value, 9) AS value FROM k
     UNION ALL SELECT 'rules-' || CAST(trial AS VARCHAR), split, metric, NULL, 'mean', round(value, 9) FROM m
-    UNION ALL SELECT 'rules-search', 'val', 'kappa', NULL, 'best', round(max(value), 9) FROM m WHERE split = 'val' AND metric = 'kappa'""",
-    ("v_pred",),
+    UNION ALL SELECT 'rules-search', 'val', 'kappa', NULL, 'best', round(max(value), 9) FROM m WHERE split = 'val' AND metric = 'kappa'"""
 )
+
+_GROUPINGS = {"l_linestatus": ["l_linestatus"], "l_linenumber": ["l_linenumber"], "l_both": ["l_linestatus", "l_linenumber"]}
+
+
+@query("M7 S11", _SEARCH_LOG, ("v_pred",))
 def search_log(spark, sf):
     """Search over the grouping of a majority rule; the run log it writes, read back with its keys decoded."""
     df = X.v_pred(spark, sf).drop("pred", "score")
-    groups = {"l_linestatus": ["l_linestatus"], "l_linenumber": ["l_linenumber"], "l_both": ["l_linestatus", "l_linenumber"]}
     root = scratch_path(spark, "search")
-    H.log_search(df, {"by": ("choice", list(groups))}, 4, 5, lambda train, p: K.majority_rule(groups[p["by"]])(train), root, "rules", 11, objective="kappa")
+    H.log_search(df, {"by": ("choice", list(_GROUPINGS))}, 4, 5, lambda train, p: K.majority_rule(_GROUPINGS[p["by"]])(train), root, "rules", 11, objective="kappa")
+    return rounded(R.decode_keys(T.read_runs(spark, f"{root}/metrics", "rules")).select("run", "split", "metric", "fold", "summary", "value"), 9)
+
+
+@query("M7 S11", _SEARCH_LOG, ("v_pred",))
+def search_resumed(spark, sf):
+    """The same search stopped after seven units and run again: the same log."""
+    df = written(X.v_pred(spark, sf).drop("pred", "score"), "samples")
+    root = scratch_path(spark, "search")
+    for most in (7, None):
+        H.resume_search(df, {"by": ("choice", list(_GROUPINGS))}, 4, 5, lambda train, p: K.majority_rule(_GROUPINGS[p["by"]])(train), root, "rules", 11, objective="kappa", most_units=most)
     return rounded(R.decode_keys(T.read_runs(spark, f"{root}/metrics", "rules")).select("run", "split", "metric", "fold", "summary", "value"), 9)
 
 
