@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from harrow.operators import boosting
 from harrow.operators.boosting import FittedBoost, Rules
 from harrow.operators.folds import training_size, with_class_weight
+from harrow.session import written
 
 MAX_DEPTH = 30  # Spark's own limit
 
@@ -131,9 +133,12 @@ def fit_svc(df: DataFrame, params: dict | None = None, n_fourier: int = 128) ->
     """Support vector classifier, one linear machine per class, regParam = 1 / (C n).
 
     kernel 'linear' as is; 'poly' expands to `degree`; 'rbf' approximates the kernel with random
-    Fourier features. gamma 'scale' = 1 / (d var), 'auto' = 1 / d. Class probabilities are not given.
+    Fourier features. gamma 'scale' = 1 / (d var), 'auto' = 1 / d. With probability, the margins of rows held out of further
+    fits calibrate a sigmoid per class (`calibrated`).
     """
     p = params or {}
+    if str(p.get("probability", False)) == "True":
+        return calibrated(df, {k: v for k, v in p.items() if k != "probability"}, lambda d, q: fit_svc(d, q, n_fourier))
     rows, weight = _weighted(df, p)
     kernel, c, seed = p.get("kernel", "rbf"), float(p.get("C", 1.0)), int(p.get("random_state", 42))
     d, _ = _shape(df)
@@ -167,6 +172,75 @@ def fit_svc(df: DataFrame, params: dict | None = None, n_fourier: int = 128) ->
     return _fit("svc", rows, [*stages, ovr], spec)
 
 
+#: Parts of the rows, each held out once while margins are calibrated.
+CALIBRATION_PARTS = 3
+NEWTON_STEPS = 50
+
+
+def calibrated(df: DataFrame, params: dict, fit) -> FittedModel:
+    """`fit(df, params)` with a sigmoid per class, 1 / (1 + exp(a margin + b)), fitted to margins of held-out rows (Platt 1999).
+
+    Rows are dealt to the parts by a hash of their features and label, so a seeded result does not depend on partitions. A part whose
+    training rows lack a class that other rows have is left out; with no part left, the margins of the training rows serve.
+    """
+    data = written(df.withColumn("_part", F.pmod(F.xxhash64("features", "label"), F.lit(CALIBRATION_PARTS))), "calibration")
+    held_by = {r["label"]: set(r["p"]) for r in data.groupBy("label").agg(F.collect_set("_part").alias("p")).collect()}
+    model = fit(df, params)
+    usable = [i for i in range(CALIBRATION_PARTS) if all(parts - {i} for parts in held_by.values())]
+    margins = [_margins(fit(data.where(F.col("_part") != i).drop("_part"), params), data.where(F.col("_part") == i)) for i in usable]
+    margins = margins or [_margins(model, data)]
+    model.spec["sigmoid"] = fit_sigmoids(written(reduce(DataFrame.unionByName, margins), "margins"))
+    return model
+
+
+def _margins(model: FittedModel, df: DataFrame) -> DataFrame:
+    """(cls, margin, hit) of every row and class."""
+    scored = model.pipeline.transform(_vectors(df, model.spec))
+    return scored.select("label", F.posexplode(vector_to_array("rawPrediction")).alias("cls", "margin")).select(
+        "cls", "margin", (F.col("cls") == F.col("label")).cast("int").alias("hit")
+    )
+
+
+def fit_sigmoids(margins: DataFrame) -> list[list[float]]:
+    """[a, b] per class from (cls, margin, hit), by damped Newton steps; rows stay in the cluster, six sums per class come back.
+
+    Targets are (hits + 1) / (hits + 2) and 1 / (misses + 2), so separable margins have a finite answer.
+    """
+    counts = {r["cls"]: (r["n1"], r["n"] - r["n1"]) for r in margins.groupBy("cls").agg(F.sum("hit").alias("n1"), F.count(F.lit(1)).alias("n")).collect()}
+    target = {c: ((n1 + 1.0) / (n1 + 2.0), 1.0 / (n0 + 2.0)) for c, (n1, n0) in counts.items()}
+    at = {c: (0.0, math.log((n0 + 1.0) / (n1 + 1.0))) for c, (n1, n0) in counts.items()}
+    best: dict[int, tuple] = {}  # class -> (loss, point, its step)
+    open_classes = set(counts)
+    for _ in range(NEWTON_STEPS):
+        pick = lambda values, i: F.coalesce(*[F.when(F.col("cls") == c, F.lit(float(v[i]))) for c, v in values.items()])  # noqa: B023
+        t = F.when(F.col("hit") == 1, pick(target, 0)).otherwise(pick(target, 1))
+        z = F.col("margin") * pick(at, 0) + pick(at, 1)
+        p = 1.0 / (1.0 + F.exp(z))
+        # log(1 + exp(z)) without overflow.
+        loss = t * z + F.greatest(-z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z)))
+        d1, d2, m = t - p, p * (1.0 - p), F.col("margin")
+        sums = [("loss", loss), ("ga", d1 * m), ("gb", d1), ("haa", d2 * m * m), ("hab", d2 * m), ("hbb", d2)]
+        rows = margins.where(F.col("cls").isin(sorted(open_classes))).groupBy("cls").agg(*[F.sum(e).alias(n) for n, e in sums]).collect()
+        for r in rows:
+            c = r["cls"]
+            if c in best and r["loss"] > best[c][0] - 1e-10 * max(1.0, abs(best[c][0])):
+                # No better: half the step, until it is too short to matter.
+                step = (best[c][2][0] / 2, best[c][2][1] / 2)
+                best[c] = (best[c][0], best[c][1], step)
+            else:
+                haa, hbb = r["haa"] + 1e-12, r["hbb"] + 1e-12
+                det = haa * hbb - r["hab"] ** 2
+                step = (-(hbb * r["ga"] - r["hab"] * r["gb"]) / det, -(haa * r["gb"] - r["hab"] * r["ga"]) / det) if det > 0 else (-r["ga"] / haa, -r["gb"] / hbb)
+                best[c] = (r["loss"], at[c], step)
+            a, b = best[c][1]
+            at[c] = (a + step[0], b + step[1])
+            if abs(step[0]) <= 1e-7 * (1 + abs(a)) and abs(step[1]) <= 1e-7 * (1 + abs(b)):
+                open_classes.discard(c)
+        if not open_classes:
+            break
+    return [list(best[c][1]) if c in best else [0.0, 0.0] for c in range(max(counts, default=-1) + 1)]
+
+
 def fit_mlp(df: DataFrame, params: dict | None = None) -> FittedModel:
     """Perceptron with the given hidden_layer_sizes (sigmoid units), max_iter, learning_rate_init, random_state.
 
@@ -208,8 +282,8 @@ def predict(df: DataFrame, model: FittedModel | FittedBoost, name: str | None =
 def with_scores(df: DataFrame, model: FittedModel | FittedBoost, out: str) -> DataFrame:
     """The input rows plus an array of class scores that add up to 1.
 
-    Models without probabilities give one margin per class; each goes through the logistic function
-    and the results are scaled to add up to 1 (our stand-in for calibrated probabilities).
+    Models without probabilities give one margin per class; each goes through its calibrated sigmoid, or the plain logistic
+    function where there is none, and the results are scaled to add up to 1.
     """
     if isinstance(model, FittedBoost):
         return model.scores(df, out)
@@ -217,7 +291,12 @@ def with_scores(df: DataFrame, model: FittedModel | FittedBoost, out: str) -> Da
     if "probability" in scored.columns:
         scores = vector_to_array("probability")
     else:
-        squashed = F.transform(vector_to_array("rawPrediction"), lambda m: 1.0 / (1.0 + F.exp(-m)))
+        fitted = model.spec.get("sigmoid")
+        if fitted:
+            ab = F.array(*[F.array(*[F.lit(float(x)) for x in pair]) for pair in fitted])
+            squashed = F.transform(vector_to_array("rawPrediction"), lambda m, i: 1.0 / (1.0 + F.exp(m * ab[i][0] + ab[i][1])))
+        else:
+            squashed = F.transform(vector_to_array("rawPrediction"), lambda m: 1.0 / (1.0 + F.exp(-m)))
         total = lambda a: F.greatest(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), F.lit(1e-300))
         scores = F.transform(squashed, lambda x: x / total(squashed))
     return scored.select(*df.columns, scores.alias(out))

@@ -239,7 +239,7 @@ def vote_ensemble(spark, sf):
     """Support vectors, boosting and perceptron vote row by row."""
     df = _four_classes(spark, sf)
     members = {
-        "svc": {"kernel": "linear", "C": 1.0, "max_iter": 5},
+        "svc": {"kernel": "linear", "C": 1.0, "max_iter": 5, "probability": True},
         "xgb": {"n_estimators": 2, "max_depth": 3},
         "mlp": {"hidden_layer_sizes": 8, "max_iter": 10},
     }
