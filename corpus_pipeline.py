@@ -21,16 +21,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of every component of documents with five-word Jaccard similarity of 0.8 or more."""
+    """Keeps one row, that of the smallest doc_id, of every component of documents with five-word Jaccard similarity of 0.8 or more."""
     return jaccard.one_of_each_group(docs, 5, 80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts every byte of a 50-byte string that an earlier document also has; n_chars follows the text."""
-    others = [c for c in docs.columns if c not in ("text", "n_chars")]
-    cut = suffixes.without_repeats(docs, 50, carry=others, with_text=True, digests=False)
-    text = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return cut.select(*[text.get(c, F.col(c)).alias(c) for c in docs.columns])
+    # Other columns travel under names of their own, so that none clashes with what the operator adds.
+    others = {c: f"carried_{i}" for i, c in enumerate(docs.columns) if c not in ("text", "n_chars")}
+    named = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in others.items()])
+    cut = suffixes.without_repeats(named, 50, carry=list(others.values()), with_text=True, digests=False)
+    back = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")} | {c: F.col(n) for c, n in others.items()}
+    return cut.select(*[back[c].alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("packing", packed)]
 
-#: The classifier and the tokenizer are beyond SQL; tests compare the stages with brute force.
+#: The classifier and the tokenizer are beyond SQL; tests/llm/test_pipeline.py compares the stages and the whole with brute force.
 ORACLE_SQL = None
 
 

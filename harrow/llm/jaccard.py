@@ -16,10 +16,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.window import Window
 
 from harrow.llm.common import components, doc_texts, written
-from harrow.llm.text import blocks, by_text, column_bytes, mixed, shingles, word_codes, word_spans
+from harrow.llm.text import blocks, by_text, column_bytes, mixed, shingles, span_codes, word_spans
 
 BLOCK = 512
 FAN = 8
@@ -32,7 +33,7 @@ def _sets(column, k: int):
     data, off = column_bytes(column)
     for s, e, d, o in blocks(data, off):
         a, b, text = word_spans(d, o)
-        owner, codes = shingles(word_codes(d, a, b), text, e - s, k)
+        owner, codes = shingles(span_codes(d, a, b), text, e - s, k)
         yield s, e, owner, codes
 
 
@@ -265,7 +266,7 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Texts link when 100 * |A and B| >= percent * |A or B| for their sets of distinct k-word shingles (A-Z lowered, words between ASCII
     white space; a text of fewer words is one shingle). component_id is the smallest doc_id that links reach. Null and
     empty texts have no shingles and link with nothing. A doc_id names one node, so rows that share it share a
-    component; rows with a null doc_id come back with null class and component. Shingles are told apart by 64-bit codes.
+    component; rows with a null doc_id come back with null class and component. Words and shingles are told apart by 64-bit codes.
     """
     d = doc_texts(docs)
     spark = docs.sparkSession
@@ -334,7 +335,30 @@ def _family_links(d: DataFrame, families: DataFrame, k: int, percent: int) -> Da
 
 
 def one_of_each_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of its component; rows with a null doc_id stay."""
-    groups = linked(docs, k, percent).where("doc_id is null or doc_id = component_id").select("doc_id").where("doc_id is not null").distinct()
-    kept = docs.join(groups, "doc_id", "left_semi")
-    return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of `docs` per component: that of its smallest doc_id.
+
+    Rows that share that doc_id are told apart by their text: the least one stays, and one of equal ones. Rows with a null doc_id are documents of their own,
+    after all others, so they go where a row with a doc_id is like them, and one of them stays where none is.
+    """
+    spark, node = docs.sparkSession, "node"
+    while node in docs.columns:
+        node += "_"
+    known = docs.where(F.col("doc_id").isNotNull()).withColumn(node, F.col("doc_id").cast("long"))
+    nameless = docs.where(F.col("doc_id").isNull())
+    if nameless.limit(1).count():
+        top = known.agg(F.max(node)).first()[0] or 0
+        # Beyond the largest doc_id there is no room for more: count down from the smallest.
+        start = F.lit(top + 1) if top < 2**62 else F.lit(min(0, known.agg(F.min(node)).first()[0]) - 2**61)
+        known = known.unionByName(written(nameless.withColumn(node, start + F.monotonically_increasing_id()), "nameless"))
+    groups = linked(known.select(F.col(node).alias("doc_id"), "text"), k, percent).where("doc_id = component_id").groupBy(F.col("doc_id").alias(node)).agg(F.count(F.lit(1)).alias("rows_"))
+    groups = written(groups, "kept_ids")
+    kept = known.join(groups.where("rows_ = 1").select(node), node, "left_semi")
+    several = groups.where("rows_ > 1").select(node)
+    if several.limit(1).count():
+        cols = [F.col(c) for c in docs.columns if c not in ("doc_id", "text") and not isinstance(docs.schema[c].dataType, (MapType, VariantType))]
+        rank = F.row_number().over(Window.partitionBy(node).orderBy(F.col("text").asc_nulls_first(), *cols))
+        order = node + "rank"
+        while order in docs.columns:
+            order += "_"
+        kept = kept.unionByName(known.join(several, node, "left_semi").withColumn(order, rank).where(F.col(order) == 1).drop(order))
+    return kept.select(*docs.columns)

@@ -14,8 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from harrow.llm.common import batch, doc_texts
+from harrow.llm.encoders import distinct_words
 from harrow.llm.merges import NEVER, PairTable, byte_letters
-from harrow.llm.text import blocks, column_bytes, word_codes, word_spans
+from harrow.llm.text import blocks, column_bytes, word_spans
 
 SCHEMA = "doc_id long, n_words long, n_tokens long, n_unknown long"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64()), ("n_unknown", pa.int64())])
@@ -118,7 +119,7 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
             data, off = column_bytes(b.column(1))
             for x, y, d, o in blocks(data, off, 8 << 20):
                 s, e, text = word_spans(d, o)
-                _, first, again = np.unique(word_codes(d, s, e, lower=False), return_index=True, return_inverse=True)
+                first, again = distinct_words(d, s, e) if len(s) else (s, s)
                 pieces = automaton.counts(d, s[first], e[first])[again]
                 n = y - x
                 unknown = np.bincount(text, pieces < 0, n)
