@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.window import Window
 
-from harrow.llm.common import components, doc_texts, written
+from harrow.llm.common import doc_texts, written
 from harrow.llm.text import blocks, by_text, column_bytes, mixed, shingles, span_codes, word_spans
+from harrow.operators.graph import connected
 
 BLOCK = 512
 FAN = 8
@@ -257,7 +258,7 @@ def _families(reps: DataFrame, percent: int, group_max: int) -> DataFrame:
     wide = counted.where(F.col("df") > group_max).select("rep", "key").union(reps.select("rep", F.explode("often").alias("key")))
     leaders = wide.groupBy("key").agg(F.min("rep").alias("a"))
     starred = wide.join(leaders, "key").where(F.col("a") < F.col("rep")).select("a", F.col("rep").alias("b"))
-    return components(near.union(starred).distinct())
+    return connected(near.union(starred).distinct())
 
 
 def linked(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -283,7 +284,7 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     reps = named.join(classes, fp).where("doc_id = rep").select("rep", "n", "rare", "often")
     families = _families(reps, percent, common_from)
     links = _family_links(d, families, k, percent)
-    settled = components(links)
+    settled = connected(links)
 
     by_rep = classes.join(settled.withColumnRenamed("node", "rep"), "rep", "left").select(*fp, "rep", F.coalesce("component", "rep").alias("component"))
     out = sets.select("doc_id", *fp).join(by_rep, fp, "left")
@@ -312,7 +313,7 @@ def _family_links(d: DataFrame, families: DataFrame, k: int, percent: int) -> Da
     if wide.limit(1).count() == 0:
         return first
     # Across blocks: the members outside their family's main component against all blocks of the family.
-    joined = components(first).withColumnRenamed("node", "rep").withColumnRenamed("component", "label")
+    joined = connected(first).withColumnRenamed("node", "rep").withColumnRenamed("component", "label")
     wide = wide.join(joined, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     weight = wide.groupBy("family", "label").agg(F.count(F.lit(1)).alias("m"))
     main = weight.groupBy("family").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.sum(F.lit(1)).alias("labels"))
