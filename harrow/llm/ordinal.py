@@ -1,8 +1,9 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
 P(grade > j) = sigmoid(w.x - t_j): one weight vector over hashed text features for all grades, and ordered thresholds t_0 < t_1 < ...
-Features are the distinct word beginnings (each in two hash buckets, so that one collision never decides), and the shares of
-words by their leading and trailing marks, by their case, and of those that repeat the word before.
+Features are the distinct whole words, their beginnings, and every byte run of GRAM bytes inside long words, so text without spaces
+is seen whole (each in two hash buckets, so that one collision never decides); and the shares of words by their leading and trailing
+marks, by their case, and of those that repeat the word before.
 """
 
 from __future__ import annotations
@@ -19,8 +20,12 @@ from harrow.llm.common import release_memory, written
 from harrow.llm.text import blocks, column_bytes, mixed, word_codes, word_spans
 
 BUCKETS = 1 << 20
-#: Bytes of a word that make a feature.
+#: Bytes of a word's beginning that make a feature, beside the whole word.
 BEGINNINGS = (4, 6)
+#: Words of more bytes than LONG_WORD also give the runs of GRAM bytes that start at their characters.
+LONG_WORD, GRAM = 16, 6
+#: Values of a beginning, and of a whole word or a run: these are many and rarer, so each counts for less.
+BEGINNING_VALUE, WORD_VALUE = 0.5, 0.1
 #: Rated documents used for fitting, at most: those whose doc_id hashes lowest.
 MAX_RATED = 8_000
 STEPS = 150
@@ -61,11 +66,19 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     owner = np.concatenate([text] * len(kinds))
     key, count = np.unique(owner * BUCKETS + bucket, return_counts=True)
     share = SHARE_SCALE * count / words[key // BUCKETS]
-    # Distinct word beginnings, twice each.
-    lot = []
+    # Distinct whole words, beginnings and runs inside long words, twice each.
+    some = b > a
+    lot = [np.stack([text[some].astype(np.uint64), mixed(word_codes(data, a[some], b[some]) + np.uint64(17))], 1)]
     for size in BEGINNINGS:
         some = b - a >= size
         lot.append(np.stack([text[some].astype(np.uint64), word_codes(data, a[some], a[some] + size)], 1))
+    long = np.flatnonzero(b - a > LONG_WORD)
+    runs = b[long] - a[long] - GRAM + 1
+    owner = np.repeat(long, runs)
+    start = a[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
+    first = (data[start] & 0xC0) != 0x80
+    lot.append(np.stack([text[owner[first]].astype(np.uint64), mixed(word_codes(data, start[first], start[first] + GRAM) + np.uint64(19))], 1))
+    values = np.concatenate([np.full(len(x), v) for x, v in zip(lot, (WORD_VALUE, *[BEGINNING_VALUE] * len(BEGINNINGS), WORD_VALUE))])
     lot = np.concatenate(lot)
     order = np.lexsort((lot[:, 1], lot[:, 0]))
     new = np.ones(len(lot), bool)
@@ -75,7 +88,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     both = np.concatenate([BUCKETS // 4 + (mixed(code[:, 1] + np.uint64(k)) % rest).astype(np.int64) for k in (11, 13)])
     owner = np.concatenate([key // BUCKETS, code[:, 0].astype(np.int64), code[:, 0].astype(np.int64)])
     bucket = np.concatenate([key % BUCKETS, both])
-    value = np.concatenate([share, np.full(len(both), 0.5)])
+    value = np.concatenate([share, np.tile(values[order][new], 2)])
     order = np.argsort(owner, kind="stable")
     return owner[order], bucket[order], value[order]
 
@@ -105,7 +118,7 @@ Chunk = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # grades, text nu
 
 
 def fit_chunks(chunks: Callable[[], Iterable[Chunk]], steps: int = STEPS, decay: float = 3e-4) -> OrdinalModel:
-    """Maximum likelihood by Adam over all rows; gaps between thresholds stay positive through exp.
+    """Maximum likelihood by Adam over all rows, with a rate that falls to zero; gaps between thresholds stay positive through exp.
 
     `chunks` is read twice: to count, then to keep what has weights in compact types. Every step goes through all chunks,
     so what it needs besides them is bounded by one chunk.
@@ -152,10 +165,11 @@ def fit_chunks(chunks: Callable[[], Iterable[Chunk]], steps: int = STEPS, decay:
             np.add.at(g_t, grade, dl / n)
             g_w += np.bincount(local, ((du - dl) / n)[owner] * value, len(used))  # d loss / d score, spread over the weights
         tail = np.cumsum(g_t[1:-1][::-1])[::-1]
+        rate = 0.2 * (1 - (step - 1) / steps)
         for i, g in enumerate((g_w, np.concatenate([tail[:1], tail[1:] * np.exp(params[1][1:])]))):
             m[i] += 0.1 * (g - m[i])
             v[i] += 0.001 * (g * g - v[i])
-            params[i] = params[i] - 0.1 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
+            params[i] = params[i] - rate * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.999**step)) + 1e-8)
     dense = np.zeros(BUCKETS, np.float32)
     dense[used] = params[0]
     return OrdinalModel(dense, thresholds(params[1]))

@@ -349,6 +349,31 @@ def test_ordinal_orders_thresholds_and_generalises(spark, sf):
     assert ordinal.selected(_docs(spark, [(1, None), (2, "x")]), none).count() == 2
 
 
+def test_ordinal_sees_whole_words_and_text_without_spaces():
+    def seen(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return set(zip(*[a.tolist() for a in ordinal.features(data, np.array([0, len(data)]))[1:]]))
+
+    assert seen("idiot") != seen("idiom") and seen("abc") != seen("abd") and seen("") == set()
+    long = "字" * 30
+    assert seen(long + "甲乙丙" + long) - seen(long + "甲乙丁" + long)
+    assert seen("Word, (word) WORD") & seen("word")
+
+
+def test_ordinal_clashing_columns_repeats_and_nulls(spark):
+    rows = [(i, "good plain prose here" if i % 2 else "bad junk words there", 9, True) for i in range(40)] + [(3, None, 1, None), (None, "", 2, False), (1, "good plain prose here", 9, True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, expected_grade int, keep boolean")
+    ratings = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1), (5, None)], "doc_id long, grade int")
+    model = ordinal.fit(docs, ratings)
+    got = ordinal.graded(docs, model, 0.5).collect()
+    assert len(got) == len(rows) and sum(r["doc_id"] is None for r in got) == 1
+    by_text = {(r["doc_id"], round(r["p_top"], 9)) for r in got if r["doc_id"] == 1}
+    assert len(by_text) == 1
+    assert {r["keep"] for r in got if r["doc_id"] is not None and r["doc_id"] % 2 == 0} == {False}
+    assert ordinal.selected(docs, model, 0.5).columns == docs.columns
+    assert ordinal.graded(docs.limit(0), model).count() == 0
+
+
 def test_transcripts(spark, monkeypatch):
     rng = random.Random(3)
     rows = []
