@@ -1,13 +1,15 @@
 """The exact file layout, written with plain Python, read by the scans."""
 
 import os
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
 
 from harrow.session import scratch_path
 from harrow.sources import environments, layers, runtree
-from harrow.streaming.ingest import compact_metrics
+from harrow.sources.pixels import read_bands, write_bands
+from harrow.streaming.ingest import compact_metrics, read_metrics_copy
 
 META = """artifact_uri: mlflow-artifacts:/17/ab/artifacts
 end_time: 1747763886781
@@ -101,23 +103,61 @@ def test_layers(spark, tree):
 
 
 def test_new_files_are_compacted_once(spark, tree):
-    out, state = scratch_path(spark, "compact"), scratch_path(spark, "state")
-    compact_metrics(spark, str(tree), out, state)
-    assert runtree.read_runs(spark, out).count() == 3
+    out = scratch_path(spark, "compact")
+    assert compact_metrics(spark, str(tree), out) == 3
     extra = Path(tree) / "17/ef/metrics/loss"
     extra.parent.mkdir(parents=True)
     extra.write_text("30 0.125 2\n")
-    compact_metrics(spark, str(tree), out, state)
-    compact_metrics(spark, str(tree), out, state)
-    rows = runtree.read_runs(spark, out, "17")
+    assert [compact_metrics(spark, str(tree), out) for _ in range(2)] == [1, 0]
+    rows = read_metrics_copy(spark, out)
     assert rows.count() == 4 and rows.where("run = 'ef'").first()["value"] == 0.125
     with extra.open("a") as f:
-        f.write("31 0.25 3\n")
-    old = Path(tree) / "17/ef/metrics/old"
+        f.write("31 0.25 3\n31 0.25 3\n")
+    old = Path(tree) / "17/ef/metrics/old one"
     old.write_text("1 0.5 0\n")
     os.utime(old, (1, 1))
-    assert compact_metrics(spark, str(tree), out, state) == 2
-    assert runtree.read_runs(spark, out).count() == 6
+    assert compact_metrics(spark, str(tree), out) == 3
+    assert sorted(map(tuple, read_metrics_copy(spark, out).collect())) == sorted(map(tuple, runtree.read_metrics(spark, str(tree)).collect()))
+
+
+def test_unchanged_files_are_not_read(spark, tree):
+    out = scratch_path(spark, "compact")
+    compact_metrics(spark, str(tree), out)
+    f = Path(tree) / "17/ab/metrics/loss+aux/step"
+    time = f.stat().st_mtime_ns
+    f.write_text(f.read_text().replace("0.25", "0.75"))
+    os.utime(f, ns=(time, time))
+    # Same length and time: the other content stays unseen, so nothing was read.
+    assert compact_metrics(spark, str(tree), out) == 0
+    # A changed time: earlier lines differ, so the line that the copy lacks is added.
+    os.utime(f, (9, 9))
+    assert [compact_metrics(spark, str(tree), out) for _ in range(2)] == [1, 0]
+
+
+def test_a_call_that_died_is_written_anew(spark, tree):
+    out = scratch_path(spark, "compact")
+    compact_metrics(spark, str(tree), out)
+    (Path(tree) / "17/ab/metrics/more").write_text("5 1.5 0\n")
+    left = spark.createDataFrame([("gone", "k", 1, 1.0, 0, "17")], "run string, key string, ts long, value double, step long, experiment_id string")
+    left.write.partitionBy("experiment_id").parquet(f"{out}/rows/batch=1")
+    assert read_metrics_copy(spark, out).count() == 3
+    assert compact_metrics(spark, str(tree), out) == 1
+    assert read_metrics_copy(spark, out).where("run = 'gone'").count() == 0
+
+
+def test_scenes_of_one_day_written_apart_both_stay(spark):
+    path = scratch_path(spark, "bands")
+    schema = "scene_ts timestamp, x int, B04 double"
+    noon, late, next_month = datetime(2024, 5, 31, 12), datetime(2024, 5, 31, 18), datetime(2024, 6, 1)
+    write_bands(spark.createDataFrame([(noon, 1, 0.1), (noon, 2, 0.2), (None, 9, 0.9)], schema), path)
+    write_bands(spark.createDataFrame([(late, 1, 0.3), (next_month, 1, 0.4)], schema), path)
+    write_bands(spark.createDataFrame([(noon, 1, 0.5), (None, 8, 0.8)], schema), path)
+    # A write without its manifest entry is not there.
+    spark.createDataFrame([(late, 7, 0.7)], schema).selectExpr("*", "to_date(scene_ts) scene_date", "'2024-05' scene_month").write.partitionBy("scene_month").parquet(f"{path}/batches/batch=dead")
+    rows = {(r["scene_ts"], r["x"], r["B04"]) for r in read_bands(spark, path).collect()}
+    assert rows == {(noon, 1, 0.5), (late, 1, 0.3), (next_month, 1, 0.4), (None, 8, 0.8)}
+    assert {r["B04"] for r in read_bands(spark, path, last=date(2024, 5, 31)).collect()} == {0.5, 0.3}
+    assert [r["B04"] for r in read_bands(spark, path, first=date(2024, 6, 1)).collect()] == [0.4]
 
 
 def test_written_tree_reads_back(spark, tmp_path):
