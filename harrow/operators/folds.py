@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harrow.functions.values import unit_hash
 from harrow.operators.metrics import scores, scores_of_cells
 from harrow.operators.ordered import join_groups, over_order, row_number, size_checked
 from harrow.session import written
@@ -38,6 +39,27 @@ def with_class_weight(df: DataFrame, label: str = "label", out: str = "weight")
     return join_groups(df, size_checked(w), [label])
 
 
+#: Draws of one row that a bootstrap tells apart; more have a chance below 1e-12, less than a hash value's own.
+MAX_DRAWS = 14
+
+
+def bootstrap_weights(df: DataFrame, trees: int, key: str, label: str = "label", seed: int = 42) -> DataFrame:
+    """'balanced_subsample': (tree, `key`, `label`, draws, weight) of every row that a tree's bootstrap holds.
+
+    A row comes `draws` times, Poisson with mean 1, read off a hash of (seed, tree, key): the same on every run and partitioning. The
+    weight is n / (classes * n_class) within the tree's own bootstrap, each row counted by its draws. Rows with one key are drawn alike;
+    a null key and a null label are values like any other.
+    """
+    drawn = df.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), key, label)
+    u = unit_hash(F.lit(seed), F.col("tree"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    upto = [math.exp(-1) * sum(1 / math.factorial(i) for i in range(j + 1)) for j in range(MAX_DRAWS)]
+    drawn = drawn.withColumn("draws", reduce(lambda a, b: a + b, [(u > p).cast("int") for p in upto])).where("draws > 0")
+    counts = drawn.groupBy("tree", label).agg(F.sum("draws").alias("_n"))
+    totals = counts.groupBy("tree").agg(F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_k"))
+    weights = counts.join(totals, "tree").select("tree", label, (F.col("_all").cast("double") / (F.col("_k") * F.col("_n"))).alias("weight"))
+    return join_groups(drawn, size_checked(weights), ["tree", label])
+
+
 def standard_scale(df: DataFrame, cols: list[str], by: list[str] = (), fit_on: DataFrame | None = None) -> DataFrame:
     """(x - mean) / population std, fitted on `fit_on` (default: the rows themselves); constant columns give 0.
 

@@ -131,6 +131,24 @@ def with_class_weight(spark, sf):
     return rounded(K.with_class_weight(df).select("vec_id", "label", "weight"), 9)
 
 
+_DRAW = "(('0x' || substr(md5('7|' || CAST(tree AS VARCHAR) || '|' || CAST(vec_id AS VARCHAR)), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE"
+
+
+@query(
+    "A18",
+    f"""WITH c AS (SELECT j, sum(exp(-1::DOUBLE) / factorial(j)) OVER (ORDER BY j) AS p FROM (SELECT CAST(range AS INTEGER) AS j FROM range(14))),
+      d AS (SELECT CAST(t.range AS INTEGER) AS tree, vec_id, label FROM embeddings, range(5) t),
+      h AS (SELECT tree, vec_id, label, {_DRAW} AS u FROM d),
+      n AS (SELECT tree, vec_id, label, CAST((SELECT count(*) FROM c WHERE c.p < h.u) AS INTEGER) AS draws FROM h),
+      s AS (SELECT tree, label, sum(draws) AS m FROM n WHERE draws > 0 GROUP BY ALL),
+      w AS (SELECT tree, label, (sum(m) OVER (PARTITION BY tree))::DOUBLE / (count(*) OVER (PARTITION BY tree) * m) AS weight FROM s)
+    SELECT tree, vec_id, label, draws, round(weight, 9) AS weight FROM n JOIN w USING (tree, label) WHERE draws > 0""",
+)
+def bootstrap_weights(spark, sf):
+    df = X.table(spark, sf, "embeddings").select("vec_id", "label")
+    return rounded(K.bootstrap_weights(df, 5, "vec_id", seed=7), 9)
+
+
 @query(
     "A19",
     """SELECT l_orderkey, l_returnflag,

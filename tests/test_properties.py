@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from harrow.functions.dtw import dtw_batch, dtw_expr, dtw_udf
 from harrow.operators import clustering as C
+from harrow.operators import folds as K
 from harrow.operators import joins as J
 from harrow.operators import metrics as M
 from harrow.operators import ordered as O
@@ -251,3 +252,16 @@ def test_null_groups_are_kept(spark, hot):
     series = df.withColumnRenamed("script", "series").withColumn("t", F.col("id").cast("long")).withColumnRenamed("v", "value")
     assert S.series_features(series, hot_rows=hot).count() == series.select("series").distinct().count()
     assert G.zonal_shares(df.withColumn("cls", F.col("t") % 3), ["script"]).agg(F.sum("n")).first()[0] == n
+
+
+def test_bootstraps_are_keyed_and_balanced(spark):
+    rows = [(i, "a" if i % 4 else "b") for i in range(400)] + [(None, None)]
+    df = spark.createDataFrame(rows, "k int, label string")
+    got = sorted(map(str, K.bootstrap_weights(df, 6, "k").collect()))
+    assert got == sorted(map(str, K.bootstrap_weights(df.repartition(7), 6, "k").collect()))
+    rows = K.bootstrap_weights(df.where("k is not null"), 6, "k").collect()
+    assert 0.9 < sum(r["draws"] for r in rows) / 2400 < 1.1
+    for tree in range(6):
+        total = [sum(r["draws"] * r["weight"] for r in rows if r["tree"] == tree and r["label"] == c) for c in "ab"]
+        assert total[0] == pytest.approx(total[1])
+    assert K.bootstrap_weights(df.limit(0), 6, "k").count() == 0
