@@ -12,7 +12,7 @@ from harrow.sources.pixels import read_bands, write_bands
 from harrow.streaming.ingest import compact_metrics, read_metrics_copy
 
 META = """artifact_uri: mlflow-artifacts:/17/ab/artifacts
-end_time: 1747763886781
+end_time: 1700000060000
 entry_point_name: ''
 experiment_id: '17'
 lifecycle_stage: active
@@ -22,7 +22,7 @@ run_uuid: ab
 source_name: ''
 source_type: 4
 source_version: ''
-start_time: 1747763835730
+start_time: 1700000000000
 status: 3
 tags: []
 user_id: someone
@@ -38,7 +38,7 @@ def tree(tmp_path):
 
     put("17/meta.yaml", "artifact_location: mlflow-artifacts:/17\ncreation_time: 5\nexperiment_id: '17'\nlast_update_time: 6\nlifecycle_stage: active\nname: base lines\n")
     put("17/ab/meta.yaml", META)
-    put("17/ab/metrics/Validation F1 score of class 0 in fold 1", "1747937268904 0.9146596745543792 0\n")
+    put("17/ab/metrics/Validation F1 score of class 0 in fold 1", "1700000123456 0.8125 0\n")
     put("17/ab/metrics/loss+aux/step", "10 0.5 0\n20 0.25 1\n")
     put("17/ab/params/hidden_layer_sizes", "(82, 53)")
     put("17/ab/params/note", "two\nlines")
@@ -55,7 +55,7 @@ def tree(tmp_path):
 def test_metrics(spark, tree):
     got = {tuple(r) for r in runtree.read_metrics(spark, str(tree)).collect()}
     assert got == {
-        ("17", "ab", "Validation F1 score of class 0 in fold 1", 1747937268904, 0.9146596745543792, 0),
+        ("17", "ab", "Validation F1 score of class 0 in fold 1", 1700000123456, 0.8125, 0),
         ("17", "ab", "loss+aux/step", 10, 0.5, 0),
         ("17", "ab", "loss+aux/step", 20, 0.25, 1),
     }
@@ -72,7 +72,7 @@ def test_meta(spark, tree):
     r = runtree.read_run_meta(spark, str(tree)).collect()
     assert len(r) == 1
     assert r[0]["artifact_uri"] == "mlflow-artifacts:/17/ab/artifacts" and r[0]["experiment_id"] == "17"
-    assert r[0]["source_name"] is None and r[0]["status"] == 3 and r[0]["end_time"] == 1747763886781
+    assert r[0]["source_name"] is None and r[0]["status"] == 3 and r[0]["end_time"] == 1700000060000
     e = runtree.read_experiments(spark, str(tree)).where("experiment_id is not null").collect()
     assert [(x["experiment_id"], x["name"], x["creation_time"]) for x in e] == [("17", "base lines", 5)]
 
