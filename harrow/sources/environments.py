@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.functions.values import file_path_text, parse_pin, parse_unpinned
+from harrow.functions.values import parse_pin, parse_unpinned
+from harrow.sources.files import list_tree, read_whole
 
 
 def read_env_pins(spark: SparkSession, root: str, file: str = "conda.yaml") -> DataFrame:
@@ -13,12 +14,11 @@ def read_env_pins(spark: SparkSession, root: str, file: str = "conda.yaml") -> D
 
     A line without a version gives a row with null op and version. Channels are not packages.
     """
-    files = spark.read.text(f"{root}/*/*/artifacts/*/{file}", wholetext=True)
+    files = read_whole(list_tree(spark, root, f"*/*/artifacts/*/{file}"))
     listed = F.regexp_replace("value", r"(?m)^channels:[ \t]*\n(?:[ \t]*-.*(?:\n|$))*", "")
-    path = file_path_text(F.col("_metadata.file_path"))
     pattern = r"([^/]+)/([^/]+)/artifacts/([^/]+)/([^/]+)$"
     names = ["experiment_id", "run", "model", "file"]
-    ids = [F.regexp_extract(path, pattern, i + 1).alias(n) for i, n in enumerate(names)]
+    ids = [F.regexp_extract("path", pattern, i + 1).alias(n) for i, n in enumerate(names)]
     lines = files.select(*ids, F.explode(F.split(listed, r"\r?\n")).alias("value"))
     pins = lines.select(*names, F.coalesce(parse_pin(F.col("value")), parse_unpinned(F.col("value"))).alias("_p")).where(F.col("_p").isNotNull())
     return pins.select(*names, "_p.*")
