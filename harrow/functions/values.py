@@ -130,11 +130,6 @@ def split_artifact_uri(uri: Column) -> Column:
     return F.struct(F.try_element_at(parts, F.lit(1)).alias("experiment_id"), F.try_element_at(parts, F.lit(2)).alias("run_id"))
 
 
-def file_path_text(path: Column) -> Column:
-    """Plain text of a `_metadata.file_path` URI ('%20' -> ' ', while '+' stays '+')."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-
-
 def digest_parts(digest: Column) -> list[Column]:
     """The four 32-bit quarters of an md5 text as longs; sums of them do not depend on row order."""
     return [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(4)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.functions.values import file_path_text
+from harrow.sources.files import list_tree, read_whole
 
 
 def parse_crs(wkt: Column) -> list[Column]:
@@ -26,16 +26,15 @@ def parse_crs(wkt: Column) -> list[Column]:
 
 
 def _layer_ids() -> list[Column]:
-    path = file_path_text(F.col("_metadata.file_path"))
     pattern = r"([^/]+)/([^/]+)\.[a-z]+$"
-    return [F.regexp_extract(path, pattern, 1).alias("variant"), F.regexp_extract(path, pattern, 2).alias("name")]
+    return [F.regexp_extract("path", pattern, 1).alias("variant"), F.regexp_extract("path", pattern, 2).alias("name")]
 
 
 def read_crs(spark: SparkSession, root: str) -> DataFrame:
     """One row per layer: variant (folder), name, coordinate system, encoding; either sidecar may be absent."""
-    find = lambda ext: (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{ext}").text(root, wholetext=True)
-    )
+    # Each folder below the root is walked by a task.
+    files = list_tree(spark, root, "[^_.]*", below=True)
+    find = lambda ext: read_whole(files.where(F.col("path").endswith(f".{ext}")))
     prj = find("prj").select(*_layer_ids(), *parse_crs(F.col("value")))
     cpg = find("cpg").select(*_layer_ids(), F.trim("value").alias("encoding"))
     # Grouped union in place of a full outer join: each sidecar gives at most one row per layer.
