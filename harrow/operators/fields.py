@@ -1,17 +1,18 @@
 """Regions of grid cells: labelling by tiles whose seams are merged, and the match of predicted with true regions.
 
-A tile is labelled by itself in one task, so no task sees more than tile * tile cells. Cells on the two sides of a seam link the regions of their
+A tile is labelled by itself, in a task that goes through many and holds a batch of rows and one tile. Cells on the two sides of a seam link the regions of their
 tiles; the components of these links join them. A region's name is its smallest cell (by x, then y), so names do not depend on the tiles.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from harrow.operators.graph import connected
+from harrow.operators.graph import connected, unsent
 from harrow.operators.ordered import join_groups
 from harrow.session import written
 
@@ -35,12 +36,14 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def tile_regions(x: np.ndarray, y: np.ndarray, diagonal: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(x, y) of the smallest cell of each cell's region, for distinct cells."""
-    order = np.lexsort((y, x))
-    x, y = x[order], y[order]
-    span = int(y.max() - y.min()) + 3
-    code = (x - x.min()) * span + (y - y.min())
+def tile_regions(x: np.ndarray, y: np.ndarray, first: np.ndarray, tile: int, diagonal: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(x, y) of the smallest cell of each cell's region inside its tile.
+
+    Distinct cells of many tiles one after another, each tile's by x, then y; `first` marks the first cell of each.
+    """
+    # Places of two tiles, or of two rows of one, are never neighbours.
+    span = tile + 2
+    code = (np.cumsum(first) - 1) * (span * span) + np.mod(x, tile) * span + np.mod(y, tile)
     a, b = [], []
     for step in (1, span, *((span - 1, span + 1) if diagonal else ())):
         at = np.minimum(np.searchsorted(code, code + step), len(code) - 1)
@@ -48,9 +51,32 @@ def tile_regions(x: np.ndarray, y: np.ndarray, diagonal: bool) -> tuple[np.ndarr
         a.append(i)
         b.append(at[i])
     root = roots(len(x), np.concatenate(a), np.concatenate(b))
-    rx, ry = np.empty_like(x), np.empty_like(y)
-    rx[order], ry[order] = x[root], y[root]
-    return rx, ry
+    return x[root], y[root]
+
+
+def _label_tiles(tile: int, diagonal: bool):
+    """Labels the tiles of sorted rows, all tiles that a batch completes at once; holds a batch and a tile at most."""
+
+    def labelled(held: pa.Table) -> list[pa.RecordBatch]:
+        x, y, n = (held.column(c).to_numpy() for c in ("_x", "_y", "_n"))
+        rx, ry = tile_regions(x, y, n == 1, tile, diagonal)
+        return held.drop_columns(["_n"]).append_column("_rx", pa.array(rx)).append_column("_ry", pa.array(ry)).to_batches()
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts = np.flatnonzero(batch.column("_n").to_numpy() == 1)
+            cut = int(starts[-1]) if len(starts) else 0
+            if len(starts) and (held or cut):
+                yield from labelled(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield from labelled(pa.Table.from_batches(held))
+
+    return run
 
 
 def label_regions(cells: DataFrame, by: list[str], cell: list[str] = ("x", "y"), tile: int = TILE, diagonal: bool = False) -> DataFrame:
@@ -65,13 +91,12 @@ def label_regions(cells: DataFrame, by: list[str], cell: list[str] = ("x", "y"),
     tiles = [F.floor(F.col(c) / tile).cast("long").alias(t) for c, t in (("_x", "_tx"), ("_y", "_ty"))]
     distinct = named.where("_x is not null and _y is not null").distinct().select("*", *tiles)
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        rx, ry = tile_regions(df["_x"].to_numpy(), df["_y"].to_numpy(), diagonal)
-        return df[[*groups, "_x", "_y"]].assign(_rx=rx, _ry=ry)
-
-    fields = [f for f in distinct.schema.fields if f.name not in ("_tx", "_ty")]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", _rx long, _ry long"
-    local = written(distinct.groupBy(*groups, "_tx", "_ty").applyInPandas(run, schema), "tiles")
+    # The number of a cell in its tile shows where a tile begins.
+    order = Window.partitionBy(*groups, "_tx", "_ty").orderBy("_x", "_y")
+    sorted_tiles = distinct.withColumn("_n", F.row_number().over(order)).select(*groups, "_x", "_y", "_n")
+    fields = [f for f in sorted_tiles.schema.fields if f.name != "_n"]
+    schema = T.StructType([*fields, T.StructField("_rx", T.LongType()), T.StructField("_ry", T.LongType())])
+    local = written(sorted_tiles.mapInArrow(_label_tiles(tile, diagonal), schema), "tiles")
     node = F.struct(*groups, F.col("_rx").alias("x"), F.col("_ry").alias("y"))
 
     # Only cells at a border have a partner in another tile: they ask for it, and it is at a border, too.
@@ -84,10 +109,10 @@ def label_regions(cells: DataFrame, by: list[str], cell: list[str] = ("x", "y"),
     asks = [F.when(at, F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))) for dx, dy, at in steps]
     asking = border.withColumn("_to", F.explode(F.array_compact(F.array(*asks))))
     asking = asking.select(*groups, (F.col("_x") + F.col("_to.dx")).alias("_x"), (F.col("_y") + F.col("_to.dy")).alias("_y"), node.alias("a"))
-    seams = join_groups(asking, border.select(*groups, "_x", "_y", node.alias("b")), [*groups, "_x", "_y"]).select("a", "b").distinct()
+    seams = join_groups(asking, unsent(border.select(*groups, "_x", "_y", node.alias("b"))), [*groups, "_x", "_y"]).select("a", "b").distinct()
     joined = connected(written(seams, "seams"))
 
-    out = local.select("*", node.alias("node")).join(joined, "node", "left")
+    out = local.select("*", node.alias("node")).join(unsent(joined), "node", "left")
     region = F.coalesce("component", "node")
     return out.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], F.col("_x").alias(cx), F.col("_y").alias(cy), region["x"].alias("region_x"), region["y"].alias("region_y"))
 
@@ -98,14 +123,16 @@ def region_overlaps(pred: DataFrame, true: DataFrame, by: list[str], cell: list[
     A region without a partner has one row, with null in place of the partner and 0 for what they share.
     """
     by, cell = list(by), list(cell)
-    label = lambda df, side: df.select(*by, *cell, F.struct(F.col("region_x").alias("x"), F.col("region_y").alias("y")).alias(side))
-    none = lambda side: F.lit(None).cast("struct<x:bigint,y:bigint>").alias(side)
-    # One grouped pass marks each cell with both labels, in place of a full outer join.
-    marks = label(pred, "pred").select(*by, *cell, "pred", none("true")).unionByName(label(true, "true").select(*by, *cell, none("pred"), "true"))
-    both = marks.groupBy(*by, *cell).agg(F.max("pred").alias("pred"), F.max("true").alias("true"))
+    sides = ("pred", "true")
+    label = lambda df, side: df.select(*by, *cell, *[(F.col(f"region_{c}") if s == side else F.lit(None).cast("long")).alias(f"_{s}_{c}") for s in sides for c in "xy"])
+    # One grouped pass marks each cell with both labels, in place of a full outer join. A cell has one label at most per side.
+    marks = label(pred, "pred").unionByName(label(true, "true"))
+    both = marks.groupBy(*by, *cell).agg(*[F.max(f"_{s}_{c}").alias(f"_{s}_{c}") for s in sides for c in "xy"])
+    struct = lambda s: F.when(F.col(f"_{s}_x").isNotNull(), F.struct(F.col(f"_{s}_x").alias("x"), F.col(f"_{s}_y").alias("y"))).alias(s)
+    both = both.select(*by, *map(struct, sides))
     pairs = written(both.groupBy(*by, "pred", "true").agg(F.count(F.lit(1)).alias("both")), "overlaps")
     size = lambda side: pairs.where(F.col(side).isNotNull()).groupBy(*by, side).agg(F.sum("both").alias(f"{side}_cells"), F.max((F.col("pred").isNotNull() & F.col("true").isNotNull())).alias(f"{side}_met"))
-    sized = join_groups(join_groups(pairs, size("pred"), [*by, "pred"], "left"), size("true"), [*by, "true"], "left")
+    sized = join_groups(join_groups(pairs, unsent(size("pred")), [*by, "pred"], "left"), unsent(size("true")), [*by, "true"], "left")
     # Cells that only one side has make a row only for regions that meet nobody.
     met = F.col("pred").isNotNull() & F.col("true").isNotNull()
     alone = (F.col("true").isNull() & ~F.col("pred_met")) | (F.col("pred").isNull() & ~F.col("true_met"))
@@ -127,6 +154,7 @@ def region_scores(overlaps: DataFrame, by: list[str]) -> DataFrame:
     matched = met & (F.col("iou") > MATCH)
     side = lambda s: F.when(F.col(f"{s}_x").isNotNull(), F.struct(f"{s}_x", f"{s}_y"))
     rows = overlaps.select(*by, side("pred").alias("pred"), side("true").alias("true"), met.alias("met"), matched.alias("matched"), F.col("iou"))
+    rows = written(rows, "matches")  # read three times
 
     def per(s: str, name: str) -> DataFrame:
         each = rows.where(F.col(s).isNotNull()).groupBy(*by, s).agg(F.sum(F.col("met").cast("long")).alias("partners"))

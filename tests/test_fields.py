@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,26 @@ def test_components_equal_union_find(spark, seed):
     got = connected(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in got} == {n: find(n) for n in root}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_labels_and_overlaps_send_no_rows_through_the_driver(spark):
+    p, t = (D.label_regions(_frame(spark, _cells(s, 0.4)), ["grp"], tile=3) for s in (1, 2))
+    for df in (p, D.region_overlaps(p, t, ["grp"])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("size", (1, 5, 1000))
+def test_tiles_run_on_over_batches_and_share_them(size):
+    tile = 3
+    cells = sorted({(x // tile, y // tile, x, y) for g, x, y in _cells(7, 0.7) if g == "a"})
+    rows, seen = [], Counter()
+    for tx, ty, x, y in cells:
+        seen[tx, ty] += 1
+        rows.append({"_x": x, "_y": y, "_n": seen[tx, ty]})
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + size]) for i in range(0, len(rows), size)]
+    out = [r for b in D._label_tiles(tile, False)(iter([pa.RecordBatch.from_pylist([], schema=batches[0].schema), *batches])) for r in b.to_pylist()]
+    want = {}
+    for place in seen:
+        want |= _fill([(place, x, y) for *t, x, y in cells if tuple(t) == place], False)
+    assert {((r["_x"] // tile, r["_y"] // tile), r["_x"], r["_y"]): (r["_rx"], r["_ry"]) for r in out} == want and len(out) == len(cells)
