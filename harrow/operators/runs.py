@@ -220,17 +220,6 @@ def enum_profile(params: DataFrame, by: list[str] = ("script", "key")) -> DataFr
     return text.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def average_ranks(df: DataFrame, by: list[str], col: str, out: str, hot_rows=None) -> DataFrame:
-    """Tie-averaged rank of every distinct value per group: (by, col, out).
-
-    Values are counted first, so the ordered pass sees distinct values, not rows; the counts are
-    written once because they are read more than once.
-    """
-    counts = written(df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n")), "counts")
-    upto = over_order(counts, by, [col], {"_cum": running("sum", "_n")}, hot_rows)
-    return upto.select(*by, col, (F.col("_cum") - (F.col("_n") - 1) / 2.0).alias(out))
-
-
 def param_effect(trials: DataFrame, by: list[str] = ("script", "key"), hot_rows=None) -> DataFrame:
     """Pearson and rank correlation of a numeric parameter `x` with the objective, per (script, key).
 
@@ -241,21 +230,39 @@ def param_effect(trials: DataFrame, by: list[str] = ("script", "key"), hot_rows=
     known = trials.where(_valid() & F.col("x").isNotNull() & ~F.isnan("x"))
     limit = session_hot_rows(trials.sparkSession) if hot_rows is None else hot_rows
     if not by or has_hot_group(known, by, limit):
-        rx = average_ranks(known, by, "x", "rx", hot_rows)
-        ry = average_ranks(known, by, "objective", "ry", hot_rows)
-        ranked = join_groups(join_groups(known, rx, [*by, "x"]), ry, [*by, "objective"])
-    else:
+        return _effect_of_counts(known, by, hot_rows)
 
-        def rank(col: str) -> Column:
-            ties = F.count(F.lit(1)).over(Window.partitionBy(*by, col))
-            return F.rank().over(Window.partitionBy(*by).orderBy(col)) + (ties - 1) / 2.0
+    def rank(col: str) -> Column:
+        ties = F.count(F.lit(1)).over(Window.partitionBy(*by, col))
+        return F.rank().over(Window.partitionBy(*by).orderBy(col)) + (ties - 1) / 2.0
 
-        ranked = known.withColumn("rx", rank("x")).withColumn("ry", rank("objective"))
+    ranked = known.withColumn("rx", rank("x")).withColumn("ry", rank("objective"))
     return ranked.groupBy(*by).agg(
         F.corr("x", "objective").alias("pearson"), F.corr("rx", "ry").alias("spearman"), F.count(F.lit(1)).alias("n")
     )
 
 
+def _effect_of_counts(known: DataFrame, by: list[str], hot_rows) -> DataFrame:
+    """`param_effect` of large groups. The rows meet the ranks of `x` only: each objective's count carries the sum of these ranks, so
+    the rows need no join with the objective's ranks. Ranks are taken from their mean."""
+    sizes = written(known.groupBy(*by).agg(F.corr("x", "objective").alias("pearson"), F.count(F.lit(1)).alias("n")), "sizes")
+
+    def centred(counts: DataFrame, col: str) -> DataFrame:
+        upto = over_order(counts, by, [col], {"_cum": running("sum", "_n")}, hot_rows)
+        rank = F.col("_cum") - (F.col("_n") - 1) / 2.0
+        return join_groups(upto, sizes.select(*by, "n"), by).withColumn("_d", rank - (F.col("n") + 1) / 2.0).drop("_cum", "n")
+
+    spread = lambda name: F.sum(F.col("_n") * F.col("_d") * F.col("_d")).alias(name)
+    xs = written(centred(written(known.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("_n")), "counts"), "x"), "ranks")
+    rows = join_groups(known.select(*by, "x", "objective"), xs.select(*by, "x", "_d"), [*by, "x"])
+    ys = written(rows.groupBy(*by, "objective").agg(F.count(F.lit(1)).alias("_n"), F.sum("_d").alias("_s")), "counts")
+    both = centred(ys, "objective").groupBy(*by).agg(F.sum(F.col("_s") * F.col("_d")).alias("_xy"), spread("_yy"))
+    whole = join_groups(join_groups(sizes, xs.groupBy(*by).agg(spread("_xx")), by), both, by)
+    # A single row has neither correlation.
+    spearman = F.when(F.col("_xx") * F.col("_yy") > 0, F.col("_xy") / F.sqrt(F.col("_xx")) / F.sqrt(F.col("_yy"))).otherwise(F.col("pearson"))
+    return whole.select(*by, "pearson", spearman.alias("spearman"), "n")
+
+
 def enum_effect(trials: DataFrame, by: list[str] = ("script", "key")) -> DataFrame:
     """Mean and best objective per enum value, and its trials; a null or NaN objective counts as a trial only."""
     known = F.when(_valid(), F.col("objective"))
