@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +10,9 @@ from harrow.operators.ordered import join_groups, last_known, over_order, runnin
 from harrow.operators.runs import param_fingerprint
 from harrow.session import written
 
+#: Rows that one task of a grouped pass takes in, by their number before any are combined.
+ROWS_A_TASK = 500_000
+
 
 def with_experiment(runs: DataFrame, experiments: DataFrame) -> DataFrame:
     """Run with its experiment; the experiment side is broadcast only after its size was read."""
@@ -134,10 +138,35 @@ def score_join(pred: DataFrame, truth: DataFrame, on: str = "sample") -> DataFra
     return pred.join(truth, on)
 
 
+def tasks_for(*rows: DataFrame) -> int:
+    """Tasks that rows grouped in one pass are dealt to; they grow with the rows, so what a task sorts does not."""
+    return max(1, -(-sum(r.count() for r in rows) // ROWS_A_TASK))
+
+
+def key_values(rows: DataFrame, how: str, tasks: int, by: list[str] = ("search",)) -> DataFrame:
+    """One row per key: the `how` (max or min) of its text values.
+
+    Each Arrow batch is combined where it is read, without a sort, so a key with very many rows reaches its task as one row
+    per batch. The rows are then dealt by number: adaptive execution would merge the partitions again by their compressed
+    size, which says little of the memory that sorting takes.
+    """
+    keys = [*by, "key"]
+    rows = rows.select(*keys, F.col("value").cast("string").alias("value"))
+
+    def combine(batches):
+        for b in batches:
+            best = pa.Table.from_batches([b]).group_by(keys, use_threads=False).aggregate([("value", how)])
+            yield from best.rename_columns([*keys, "value"]).cast(b.schema).to_batches()
+
+    dealt = rows.mapInArrow(combine, rows.schema).repartition(tasks, *keys)
+    return dealt.groupBy(*keys).agg(getattr(F, how)("value").alias("value"))
+
+
 def param_drift(parent: DataFrame, child: DataFrame, by: list[str] = ("search",)) -> DataFrame:
     """Keys whose recorded value on a search differs from that of its best trial, absent keys included.
 
-    One grouped pass over both sides stands in for the full outer join.
+    One grouped pass over both sides stands in for the full outer join. Sides made by `key_values` with the same number of
+    tasks meet without another shuffle.
     """
     by = list(by)
     rows = parent.select(*by, "key", F.col("value").alias("recorded"), F.lit(None).cast("string").alias("best")).unionByName(

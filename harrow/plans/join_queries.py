@@ -143,8 +143,10 @@ _DRIFT = "SELECT l_orderkey AS search, l_returnflag AS key, {} AS value FROM lin
 )
 def param_drift(spark, sf):
     li = X.table(spark, sf, "lineitem")
-    side = lambda cond, agg: li.where(cond).groupBy(F.col("l_orderkey").alias("search"), F.col("l_returnflag").alias("key")).agg(agg.alias("value"))
-    return J.param_drift(side(F.col("l_discount") > 0.02, F.max("l_linestatus")), side(F.col("l_tax") > 0.01, F.min("l_linestatus")))
+    keyed = [F.col("l_orderkey").alias("search"), F.col("l_returnflag").alias("key"), F.col("l_linestatus").alias("value")]
+    recorded, best = li.where(F.col("l_discount") > 0.02).select(*keyed), li.where(F.col("l_tax") > 0.01).select(*keyed)
+    tasks = J.tasks_for(recorded, best)
+    return J.param_drift(J.key_values(recorded, "max", tasks), J.key_values(best, "min", tasks))
 
 
 @query(
