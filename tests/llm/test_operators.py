@@ -178,6 +178,31 @@ def test_shard_index_points_into_the_written_files(spark, sf):
     assert file.stat().st_size == row["byte_offset"] + 1025
 
 
+def test_sequence_table_goes_while_the_shards_are_written(spark, monkeypatch):
+    docs, held, write, folders = _docs(spark, _rows(6)), [], training_order.write_shards, []
+
+    def watched(ordered, path, *mode):
+        left = [sum(f.stat().st_size for f in Path(folders[0]).rglob("*.parquet")), len(list(Path(folders[0]).glob("wave=*")))]
+        held.append(left)
+        write(ordered, path, *mode)
+
+    def named(session, label, make=training_order.scratch_path):
+        path = make(session, label)
+        if label == "sequences":
+            folders.append(path.removeprefix("file:"))
+        return path
+
+    monkeypatch.setattr(training_order, "write_shards", watched)
+    monkeypatch.setattr(training_order, "scratch_path", named)
+    index = training_order.shard_index(docs, WORD, 16, 8)
+    assert len(folders) == 1 and len(held) > 4
+    assert held[-1][1] <= 3 and held[-1][0] < held[0][0] / 2
+    assert not list(Path(folders[0]).rglob("*.parquet"))
+    rows = index.collect()  # needs the table no more
+    files = {r["folder"]: b"".join(f.read_bytes() for f in Path(r["folder"].removeprefix("file:")).glob("part-*")) for r in rows}
+    assert [r["slot"] for r in rows] == list(range(len(rows))) and sum(map(len, files.values())) == 33 * len(rows)
+
+
 def test_suffix_dedup(spark):
     rng = random.Random(5)
     base = ["".join(rng.choice("abé\n ") for _ in range(300)) for _ in range(4)]
